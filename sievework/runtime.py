@@ -5,12 +5,31 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """The package, sent to the Python workers once for each application, wherever the session was started."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="sievework-code-")) / "sievework_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(here.rglob("*.py")):
+            z.write(source, source.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
+
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One table of a data directory."""
+    ship_code(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
