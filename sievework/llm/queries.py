@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievework.llm import bpe, common, confusables, packing, sampling, splitting
+from sievework.llm import bpe, common, confusables, neardup, packing, sampling, splitting
 from sievework.runtime import cut_lineage, read_table
 
 
@@ -22,6 +22,22 @@ def _limit(spark: SparkSession, d: str, kind: str) -> tuple[int, int]:
     return int(row["max_size"]), int(row["overlap"])
 
 
+P3 = neardup.Params(k=3, threshold=0.5, least=100)
+
+
+def _links(spark: SparkSession, d: str) -> neardup.Links:
+    messages = read_table(spark, d, "messages").select("ex_id", "pos", "content", common.role_of("role").alias("role"))
+    return neardup.links(messages.where("role in ('user', 'assistant')").drop("role"), "ex_id", "pos", "content", P3)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.all_pairs(_links(spark, d), "ex_id")
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.groups(_links(spark, d), "ex_id")
+
+
 def _sample(spark: SparkSession, d: str) -> sampling.Sample:
     examples = read_table(spark, d, "examples").select("ex_id", "metadata.text", "metadata.topic", "metadata.grade_target", "metadata.layer")
     fields = {"text": sampling.label("text"), "topic": sampling.label("topic"), "grade_target": sampling.number_label("grade_target"), "layer": sampling.label("layer")}
@@ -114,7 +130,7 @@ FROM big
 
 
 def queries() -> dict:
-    run = (p4_found, p4_sample, p4_report, p5_found, p5_pieces, p6_ids, p6_round_trip, p7_found, p7_containers, p7_report, p8_found, p8_forms)
+    run = (p3_found, p3_groups, p4_found, p4_sample, p4_report, p5_found, p5_pieces, p6_ids, p6_round_trip, p7_found, p7_containers, p7_report, p8_found, p8_forms)
     return {f.__name__: f for f in run}
 
 
