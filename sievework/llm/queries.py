@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievework.llm import bpe, common, confusables, neardup, packing, pairs, sampling, splitting
+from sievework.llm import bpe, common, confusables, neardup, packing, pairs, sampling, scans, splitting
 from sievework.runtime import cut_lineage, read_table
 
 
@@ -30,6 +30,14 @@ def p1_summary(spark: SparkSession, d: str) -> DataFrame:
     return p1_found(spark, d).groupBy("defect").agg(F.count("*").alias("pairs"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.noise_lines(scans.find_noise(read_table(spark, d, "extracted_pages")))
+
+
+def p2_pages(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired_pages(scans.find_noise(read_table(spark, d, "extracted_pages")))
+
+
 P3 = neardup.Params(k=3, threshold=0.5, least=100)
 
 
@@ -138,7 +146,7 @@ FROM big
 
 
 def queries() -> dict:
-    run = (p1_found, p1_summary, p3_found, p3_groups, p4_found, p4_sample, p4_report, p5_found, p5_pieces, p6_ids, p6_round_trip, p7_found, p7_containers, p7_report, p8_found, p8_forms)
+    run = (p1_found, p1_summary, p2_found, p2_pages, p3_found, p3_groups, p4_found, p4_sample, p4_report, p5_found, p5_pieces, p6_ids, p6_round_trip, p7_found, p7_containers, p7_report, p8_found, p8_forms)
     return {f.__name__: f for f in run}
 
 
