@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from sievework.plans import gate_queries
+
+MODULES = (gate_queries,)
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in MODULES for name, f in m.Q.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
