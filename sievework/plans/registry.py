@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievework.plans import gate_queries
+from sievework.plans import flow_queries, gate_queries
 
-MODULES = (gate_queries,)
+MODULES = (gate_queries, flow_queries)
 
 
 def queries() -> dict:
