@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Queries of one block; the broadcast of a block is this times the width of a vector.
-BLOCK = 2048
+#: Rows and queries of one block, in the mean; a task holds one block of each.
+ROWS, QUERIES = 50_000, 2048
 LEAST, MOST = 1, 20
 
 
@@ -21,43 +19,32 @@ def check_n(n: int) -> None:
 def nearest(rows: DataFrame, queries: DataFrame, n: int = 5, metric: str = "l2", key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, vec_id, distance, rank: the n nearest rows of each query, ties by key; the query itself is a row like any other.
 
-    Queries go in blocks of a fixed size. Each task keeps the n best of each query of a block over its own rows (a matrix
-    product), so n rows for each query and task are shuffled, not all pairs."""
+    Both sides are hashed into blocks of a fixed mean size, and each pair of blocks is one matrix product in one task. Of each
+    pair the n best rows of each query go on, not all pairs. Nothing is collected or broadcast."""
     check_n(n)
     if metric not in ("l2", "cosine"):
         raise ValueError("metric is l2 or cosine")
-    spark = rows.sparkSession
-    numbered = [(r[0], r[1]) for r in queries.select(key, vector).orderBy(key).toLocalIterator()]
-    parts = None
-    for at in range(0, len(numbered), BLOCK):
-        block = numbered[at : at + BLOCK]
-        ids = np.array([b[0] for b in block], dtype=np.int64)
-        matrix = np.array([b[1] for b in block], dtype=np.float64)
-        shared = spark.sparkContext.broadcast((ids, matrix))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, q = shared.value
-            qn = (q * q).sum(1)
-            best_d = np.full((len(ids), n), np.inf)
-            best_k = np.full((len(ids), n), np.iinfo(np.int64).max)
-            for batch in batches:
-                if not len(batch):
-                    continue
-                x = np.array(batch["v"].tolist(), dtype=np.float64)
-                k = batch["k"].to_numpy(dtype=np.int64)
-                dot = q @ x.T
-                d = np.maximum(qn[:, None] + (x * x).sum(1)[None, :] - 2 * dot, 0) if metric == "l2" else 1 - dot / np.maximum(np.sqrt(qn)[:, None] * np.sqrt((x * x).sum(1))[None, :], 1e-300)
-                all_d, all_k = np.concatenate([best_d, d], axis=1), np.concatenate([best_k, np.broadcast_to(k, d.shape)], axis=1)
-                order = np.lexsort((all_k, np.round(all_d, 12)), axis=1)[:, :n]
-                best_d, best_k = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_k, order, 1)
-            keep = np.isfinite(best_d)
-            dist = np.sqrt(best_d) if metric == "l2" else best_d
-            yield pd.DataFrame({"query_id": np.repeat(ids, keep.sum(1)), "vec_id": best_k[keep], "distance": dist[keep]})
 
-        part = rows.select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v")).where("v is not null").mapInPandas(run, "query_id long, vec_id long, distance double")
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return spark.createDataFrame([], "query_id long, vec_id long, distance double, rank int")
+    def best(_key: tuple, x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(q):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
+        v, w = np.array(x["v"].tolist(), dtype=np.float64), np.array(q["v"].tolist(), dtype=np.float64)
+        k, dot = x["k"].to_numpy(dtype=np.int64), w @ v.T
+        if metric == "l2":
+            d = np.sqrt(np.maximum((w * w).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2 * dot, 0))
+            d[q["k"].to_numpy()[:, None] == k[None, :]] = 0.0  # a row and itself, without the rounding of the product
+        else:
+            d = 1 - dot / np.maximum(np.sqrt((w * w).sum(1))[:, None] * np.sqrt((v * v).sum(1))[None, :], 1e-300)
+        order = np.lexsort((np.broadcast_to(k, d.shape), np.round(d, 9)), axis=1)[:, :n]
+        return pd.DataFrame({"query_id": np.repeat(q["k"].to_numpy(), order.shape[1]), "vec_id": k[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
+
+    pick = lambda df: df.select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v")).where("v is not null")
+    x, q = pick(rows), pick(queries)
+    nx, nq = max(1, -(-rows.count() // ROWS)), max(1, -(-queries.count() // QUERIES))
+    block = lambda m: F.pmod(F.xxhash64("k"), F.lit(m)).cast("int")
+    x = x.withColumn("xb", block(nx)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    q = q.withColumn("qb", block(nq)).withColumn("xb", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
+    parts = x.groupBy("xb", "qb").cogroup(q.groupBy("xb", "qb")).applyInPandas(best, "query_id long, vec_id long, distance double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("distance", 9), "vec_id"))
     return parts.withColumn("rank", rank).where(F.col("rank") <= n)
 

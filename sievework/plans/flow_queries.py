@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sievework.functions import chunking, text as T
-from sievework.operators import examples as X, order, overlap, retrieve, targets
+from sievework.operators import examples as X, order, overlap, retrieve, rounds, targets
 from sievework.plans import base as B
 from sievework.runtime import read_table, scratch_path
 from sievework.sources import sinks
@@ -223,3 +223,27 @@ def collection_index(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "collection")
     sinks.index_chunks(read_table(spark, d, "chunks").where("text is not null").dropDuplicates(["chunk_id"]), path)
     return sinks.open_collection(spark, path).groupBy("domain").agg(F.count("*").alias("chunks"))
+
+
+@query()
+def generation_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """All expanded targets through the rounds with the deterministic stand-ins: outcomes by turn."""
+    e = target_expand(spark, d).join(F.broadcast(read_table(spark, d, "generation_targets").select("target_id", "category", "type", "layer")), "target_id")  # a plan of a few rows
+    out = rounds.run(e.select("idx", "category", "type", "layer", "grade"))
+    good = out.accepted.groupBy(F.lit("accepted").alias("outcome"), "turn").agg(F.count("*").alias("targets"))
+    return good.unionByName(out.rejected.groupBy(F.col("reason").alias("outcome"), F.col("turns").alias("turn")).agg(F.count("*").alias("targets")))
+
+
+@query(
+    "SELECT target_id, 'Generate a training example for:' || chr(10) || '  Category: ' || category || chr(10) || '  Type: ' || type || chr(10) || '  Layer: ' || layer || chr(10) || '  Grade Target: ' || coalesce(grade_targets[1]::int::varchar, 'null') || chr(10) AS prompt FROM generation_targets"
+)
+def target_prompts(spark: SparkSession, d: str) -> DataFrame:
+    t = read_table(spark, d, "generation_targets")
+    return t.select("target_id", T.fill(rounds.PROMPT, category=F.col("category"), type=F.col("type"), layer=F.col("layer"), grade=F.get("grade_targets", F.lit(0))).alias("prompt"))
+
+
+@query("SELECT target_id, category, CASE WHEN type = 'reasoning' AND category LIKE 'Feedback%' THEN 'multi_turn' WHEN type = 'reasoning' THEN 'reasoning' ELSE 'direct' END AS template FROM generation_targets")
+def template_route(spark: SparkSession, d: str) -> DataFrame:
+    t = read_table(spark, d, "generation_targets")
+    many = (F.col("type") == "reasoning") & F.col("category").startswith("Feedback")
+    return t.select("target_id", "category", F.when(many, "multi_turn").when(F.col("type") == "reasoning", "reasoning").otherwise("direct").alias("template"))

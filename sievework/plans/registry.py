@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievework.plans import flow_queries, gate_queries
+from sievework.plans import flow_queries, gate_queries, report_queries, stream_queries
 
-MODULES = (gate_queries, flow_queries)
+MODULES = (gate_queries, flow_queries, report_queries, stream_queries)
 
 
 def queries() -> dict:
