@@ -9,6 +9,7 @@ import re
 from collections.abc import Callable, Iterator
 from fnmatch import fnmatch
 from pathlib import Path
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -236,4 +237,7 @@ def extract_pages(spark: SparkSession, path: str, extractor: Callable[[bytes], l
     rows = items.mapInPandas(run, "source_file string, page_number int, item int, text string, error string")
     good = rows.where("error is null").groupBy("source_file", "page_number")
     pages = good.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    return pages, rows.where("error is not null").select("source_file", "error")
+    # the reader leaves files of no bytes out; its own listing still has them
+    listed = spark.createDataFrame([(os.path.basename(unquote(f)),) for f in items.inputFiles()], "source_file string")
+    empty = listed.join(rows.select("source_file").distinct(), "source_file", "left_anti").withColumn("error", F.lit("ValueError: empty file"))
+    return pages, rows.where("error is not null").select("source_file", "error").unionByName(empty)
