@@ -4,25 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Role names of chat exports, by the role they mean. Fixed values.
-ROLE_ALIASES = {
-    "system": "system",
-    "user": "user",
-    "human": "user",
-    "assistant": "assistant",
-    "gpt": "assistant",
-    "bot": "assistant",
-    "model": "assistant",
-}
-
+from sievework.operators import examples
 
 def role_of(role: Column | str) -> Column:
     """system, user, assistant, or null for a role that is none of them; spelling and blanks don't matter."""
-    spelled = F.lower(F.regexp_replace(F.col(role) if isinstance(role, str) else role, r"(?U)^\s+|\s+$", ""))
-    chain = F.lit(None).cast("string")
-    for name, means in ROLE_ALIASES.items():
-        chain = F.when(spelled == name, F.lit(means)).otherwise(chain)
-    return chain
+    return examples.role_of(F.col(role) if isinstance(role, str) else role)
 
 
 def once(df: DataFrame, *key: str) -> DataFrame:

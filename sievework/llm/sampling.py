@@ -143,6 +143,9 @@ def draw(df: DataFrame, key: str, fields: Mapping[str, Column], targets: DataFra
     names = [f for f in fields if any(t.field == f for t in wanted)]
     keep = [F.when(fields[f].isin([t.value for t in wanted if t.field == f]), fields[f]).otherwise(F.lit(OTHER)).alias(f"f{k}") for k, f in enumerate(names)]
     labelled = df.select(F.col(key).alias("k"), *keep).dropDuplicates(["k"])
+    if not names:
+        empty = spark.createDataFrame([], "field string, value string, wanted long, available long, drawn long, residual double, short boolean")
+        return Sample(labelled.where("false").select(F.col("k").alias(key), F.lit(1.0).alias("weight")), empty, 0)
     columns = [f"f{k}" for k in range(len(names))]
     counted = labelled.groupBy(*columns).count().collect()  # bounded by the targets
     counted.sort(key=lambda r: tuple(r)[:-1])
