@@ -131,3 +131,9 @@ def fill(template: str, **columns: Column) -> Column:
         parts += [F.lit(template[last : m.start()]), F.coalesce(columns[m[1]].cast("string"), F.lit("null"))]
         last = m.end()
     return F.concat(*parts, F.lit(template[last:]))
+
+
+def render_chat(messages: Column, begin: str = "<{role}>\n", end: str = "</{role}>\n") -> Column:
+    """A conversation (array of role, content) as one string, each message between marks of its role."""
+    mark = lambda m, t: fill(t, role=m["role"])
+    return F.array_join(F.transform(messages, lambda m: F.concat(mark(m, begin), F.coalesce(m["content"], F.lit("")), mark(m, end))), "")

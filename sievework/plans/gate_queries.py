@@ -225,3 +225,31 @@ def first_json_object(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", json_scan.first_object_in(F.col("text")).alias("object"), json_scan.strict_json(F.col("text")).alias("whole")).where("object is not null")
 
 
+
+
+@query(
+    f"WITH {B.MSG} SELECT ex_id, count(*) AS messages, sha256(string_agg('<' || coalesce(role, 'null') || '>' || chr(10) || coalesce(content, '') || '</' || coalesce(role, 'null') || '>' || chr(10), '' ORDER BY pos)) AS digest FROM msg GROUP BY ex_id"
+)
+def chat_render(spark: SparkSession, d: str) -> DataFrame:
+    """Each conversation rendered with marks of the roles."""
+    n = X.nested(X.messages(spark, d))
+    return n.select("ex_id", F.size("messages").cast("long").alias("messages"), T.digest(T.render_chat(F.col("messages"))).alias("digest"))
+
+
+@query(f"WITH {B.REJ} SELECT reject_id, target_id, category FROM rej WHERE reason = 'refusal'")
+def refused_targets(spark: SparkSession, d: str) -> DataFrame:
+    return X.rejections(spark, d).where("reason = 'refusal'").select("reject_id", "target_id", "category")
+
+
+@query(f"WITH {B.MSG}, {B.EX} SELECT ex.ex_id, ex.type FROM ex WHERE NOT EXISTS (SELECT 1 FROM msg WHERE msg.ex_id = ex.ex_id AND msg.role = 'system')")
+def missing_system(spark: SparkSession, d: str) -> DataFrame:
+    """Examples without a system message."""
+    has = X.messages(spark, d).where("role = 'system'").select("ex_id").distinct()
+    return X.examples(spark, d).select("ex_id", "type").join(has, "ex_id", "left_anti")
+
+
+@query(f"WITH {B.MSG}, s AS (SELECT role, content, count(*) AS n FROM msg WHERE content IS NOT NULL GROUP BY role, content HAVING count(*) > 1) SELECT coalesce(role, 'none') AS role, count(*) AS texts, sum(n)::bigint AS messages FROM s GROUP BY 1")
+def repeated_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that several messages of a role have."""
+    g = X.messages(spark, d).where("content is not null").groupBy("role", T.digest(F.col("content")).alias("h")).agg(F.count("*").alias("n")).where("n > 1")
+    return g.groupBy(F.coalesce("role", F.lit("none")).alias("role")).agg(F.count("*").alias("texts"), F.sum("n").alias("messages"))

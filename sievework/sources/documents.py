@@ -172,6 +172,20 @@ def config_problems(c: dict, least: dict[str, int] | None = None, reasoning: flo
     return out
 
 
+def plan_problems(targets: list[dict], total: int | None = None, reasoning: float = 0.75) -> list[tuple[str, str]]:
+    """Rules of a list of targets (type, count): their total, if one is set, and the share of reasoning."""
+    have = sum(t["count"] for t in targets)
+    out = [] if total is None or have == total else [("Generation Targets", f"total {have}, expected {total}")]
+    share = sum(t["count"] for t in targets if t["type"] == "reasoning") / have if have else 1.0
+    return out + ([("Generation Targets", f"reasoning share {share:.1%}, at least {reasoning:.0%}")] if share < reasoning else [])
+
+
+def content_problems(name: str, content: str, least: int = 100, terms: list[str] | None = None) -> list[tuple[str, str]]:
+    """Rules of one section: its length, and terms that must be in it in any case."""
+    out = [] if len(content) >= least else [(name, f"{len(content)} characters, at least {least}")]
+    return out + [(name, f"term missing: {t}") for t in terms or [] if t.lower() not in content.lower()]
+
+
 _COLLECTION = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]*")
 
 

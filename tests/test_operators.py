@@ -179,3 +179,38 @@ def test_stream_keeps_state_over_restarts(spark, tmp_path):
         streams.each_batch(df, str(tmp_path / "state"), lambda b, e: seen.extend(map(tuple, b.collect()))).awaitTermination()
         spark.createDataFrame([("a", 1)], schema).write.mode("append").parquet(str(src))
     assert seen[-1] == ("a", 3, 2)
+
+
+def test_logs(spark):
+    from sievework.operators import logs
+
+    lines = [
+        '{"timestamp": "2026-01-02 03:04:05", "level": "INFO", "message": "LLM usage: prompt_tokens=12, completion_tokens=3"}',
+        '{"timestamp": "x", "level": "INFO", "message": "target_rejected index=4, reason=timeout, turns=2"}',
+        "not json",
+        '{"message": "other"}',
+        '{"message": "LLM usage: prompt_tokens=8, completion_tokens=1"}',
+    ]
+    parsed = logs.events(spark.createDataFrame([(x,) for x in lines], "value string"))
+    rows = {r["event"]: r for r in parsed.collect()}
+    assert rows["target_rejected"]["reason"] == "timeout" and rows["target_rejected"]["index"] == 4 and rows["target_rejected"]["ts"] is None
+    assert {(r["event"], r["n"], r["prompt"], r["completion"]) for r in logs.totals(parsed).collect()} == {("LLM usage", 2, 20, 4), ("target_rejected", 1, None, None)}
+    reply = '{"response_metadata": {"usage": {"input_tokens": 5}}, "usage_metadata": {"output_tokens": 7}}'
+    u = spark.createDataFrame([(reply,), ("{}",)], "r string").select(logs.usage_of(F.col("r")).alias("u")).collect()
+    assert [tuple(r["u"]) for r in u] == [(5, 7), (0, 0)]
+
+
+def test_plan_and_content_rules():
+    plan = [{"type": "reasoning", "count": 7}, {"type": "direct", "count": 3}]
+    assert len(documents.plan_problems(plan, 11)) == 2 and documents.plan_problems(plan, 10, 0.7) == []
+    assert len(documents.content_problems("Goal", "short", 10, ["Short", "long"])) == 2
+
+
+def test_yaml_plan(spark, tmp_path):
+    (tmp_path / "p.yaml").write_text("generation_targets:\n- {text: macbeth, topic: t, layer: behaviour, type: reasoning, ao: [AO1]}\n- {text: x, topic: y, grade_target: 7, layer: knowledge, type: direct, turns: 2}\n")
+    pytest.importorskip("yaml")
+    rows = documents.plan_rows(spark, documents.load_yaml(tmp_path / "p.yaml")).orderBy("idx").collect()
+    assert [(r["text"], r["grade_target"], r["ao"], r["turns"]) for r in rows] == [("macbeth", None, ["AO1"], 1), ("x", 7, [], 2)]
+    (tmp_path / "q.yaml").write_text("- 1\n")
+    with pytest.raises(documents.ConfigError):
+        documents.load_yaml(tmp_path / "q.yaml")
