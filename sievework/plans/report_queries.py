@@ -188,7 +188,7 @@ def stall_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
 def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Events by day, an extension: the reference has no event time."""
+    """Events by day."""
     e = read_table(spark, d, "events")
     return e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value")).select(F.col("w.start").alias("day"), "event_type", "n", "value")
 
