@@ -83,14 +83,15 @@ _WORDS: dict[str, int] = {}
 
 def shingles(text: str, k: int) -> np.ndarray:
     """Sorted hashes of the distinct sequences of k words."""
-    known, hashes = _WORDS, []
-    for w in WORD.findall(text.lower()):
-        h = known.get(w)
-        if h is None:
-            if len(known) > 500_000:
-                known.clear()
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes.append(h)
+    words = WORD.findall(text.lower())
+    hashes = list(map(_WORDS.get, words))
+    if None in hashes:
+        if len(_WORDS) > 500_000:
+            _WORDS.clear()
+        for w in words:
+            if w not in _WORDS:
+                _WORDS[w] = xxhash.xxh3_64_intdigest(w)
+        hashes = list(map(_WORDS.get, words))
     n = len(hashes) - k + 1
     if n < 1:
         return np.empty(0, dtype=np.uint64)
@@ -102,9 +103,8 @@ def shingles(text: str, k: int) -> np.ndarray:
 
 
 def _signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = s[None, :] * a[:, None] + b[:, None]
-    h ^= h >> _U(31)
-    h *= _U(0xFF51AFD7ED558CCD)
+    h = np.multiply.outer(a, s)  # the hashes of a set are mixed already: a multiplication and an addition permute them enough
+    h += b[:, None]
     return h.min(axis=1)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 #: Items of one size in one bucket, at the most in the mean.
 BUCKET_ROWS = 200_000
-MOST_BUCKETS = 4096
+MOST_BUCKETS = 1024
 
 
 @dataclass
@@ -139,12 +139,11 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     for r in counted:
         per_size[r["length"]].append((r["bucket"], r["count"]))
     plan = plan_packing({s: sum(n for _, n in x) for s, x in per_size.items()}, capacity)
-    before: dict[tuple[int, int], int] = {}
+    before = np.zeros((capacity + 1, buckets), dtype=np.int64)  # items of a size in the buckets before
     for s, x in per_size.items():
-        at = 0
-        for b, n in sorted(x):
-            before[s, b] = at
-            at += n
+        for b, n in x:
+            before[s, b] = n
+    before = np.cumsum(before, axis=1) - before
     firsts, places, steps = _steps_of(plan, step_group)
     shared = spark.sparkContext.broadcast((dict(plan.runs), before, firsts, places, steps))  # at most capacity x buckets entries
 
@@ -157,7 +156,7 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
         runs, offsets, starts, order, n_steps = shared.value
         arrays = {s: tuple(np.array(c, dtype=np.int64) for c in zip(*r)) for s, r in runs.items()}
         for batch in batches:
-            at = np.array([offsets[x] for x in zip(batch["length"], batch["bucket"])], dtype=np.int64) + batch["in_bucket"].to_numpy()
+            at = offsets[batch["length"].to_numpy(), batch["bucket"].to_numpy()] + batch["in_bucket"].to_numpy()
             container = np.empty(len(batch), dtype=np.int64)
             lengths = batch["length"].to_numpy()
             for s in np.unique(lengths):
