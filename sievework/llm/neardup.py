@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,9 +45,10 @@ WORD = re.compile(r"[^\W_]+")
 PARTITION_MB = 48
 FILTER_BITS = 1 << 23
 BLOCK = 1 << 20
-KEY_BYTES = 5
+#: Bytes of a variant's hash within its partition; equal hashes of different variants fall to the two-bit digits and the exact check.
+KEY_BYTES = 4
 _U = np.uint64
-_ONE, _FIVES = _U(1), _U(0x5555555555555555)
+_ONE = _U(1)
 
 
 @dataclass(frozen=True)
@@ -109,12 +111,17 @@ def _signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _two_bits(digits: np.ndarray) -> np.ndarray:
-    """Two bits of each digit, 32 digits a word."""
+    """Two bits of each digit, four digits a byte."""
     n, width = digits.shape
-    padded = np.zeros((n, -(-width // 32) * 32), dtype=np.uint64)
-    padded[:, :width] = _mixed(digits) & _U(3)
-    words = padded.reshape(n, -1, 32)
-    return np.bitwise_or.reduce(words << (np.arange(32, dtype=np.uint64) * _U(2)), axis=2)
+    padded = np.zeros((n, -(-width // 4) * 4), dtype=np.uint8)
+    padded[:, :width] = (_mixed(digits) & _U(3)).astype(np.uint8)
+    four = padded.reshape(n, -1, 4)
+    return four[:, :, 0] | four[:, :, 1] << 2 | four[:, :, 2] << 4 | four[:, :, 3] << 6
+
+
+def _head(width: int) -> np.dtype:
+    """What a row has besides its variants: key, set, size, whether this is the record's home, and the two-bit digits."""
+    return np.dtype([("key", "<i8"), ("set", "<u8"), ("size", "<u4"), ("home", "u1"), ("bits", "u1", (-(-width // 4),))])
 
 
 def _variants(digits: np.ndarray, p: Params) -> np.ndarray:
@@ -133,6 +140,7 @@ def records(df: DataFrame, key: str, position: str, content: str) -> DataFrame:
 
 def _routed(texts: DataFrame, p: Params, parts: int) -> DataFrame:
     a, b = p.functions()
+    head = _head(p.width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,25 +162,21 @@ def _routed(texts: DataFrame, p: Params, parts: int) -> DataFrame:
             group = (row * parts + part.ravel())[order]
             starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             of, to = group[starts] // parts, group[starts] % parts
+            heads = np.zeros(len(starts), dtype=head)
+            heads["key"], heads["set"], heads["size"] = np.asarray(keys, dtype=np.int64)[of], np.asarray(sets, dtype=np.uint64)[of], np.asarray(sizes)[of]
+            heads["home"], heads["bits"] = part[of, 0] == to, bits[of]
             blob = variants.ravel()[order].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
             offsets = (np.r_[starts, len(order)] * KEY_BYTES).astype(np.int32)
-            blobs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(blob)])
-            wide = bits.shape[1] * 8
-            sketches = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((np.arange(len(starts) + 1) * wide).astype(np.int32)), pa.py_buffer(bits[of].tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(to.astype(np.int32)), pa.array(np.asarray(keys, dtype=np.int64)[of]), pa.array(np.asarray(sizes, dtype=np.int32)[of]),
-                    pa.array(np.asarray(sets, dtype=np.uint64).view(np.int64)[of]), pa.array(part[of, 0] == to), sketches, blobs,
-                ],
-                names=["part", "key", "size", "set", "home", "bits", "variants"],
-            )
+            binary = lambda ends, data: pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            fixed = (np.arange(len(starts) + 1) * head.itemsize).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), binary(fixed, heads.tobytes()), binary(offsets, blob)], names=["part", "head", "variants"])
 
-    return texts.mapInArrow(run, "part int, key long, size int, set long, home boolean, bits binary, variants binary")
+    return texts.mapInArrow(run, "part int, head binary, variants binary")
 
 
 def _joined(routed: DataFrame, p: Params) -> DataFrame:
     """a, b, copy: candidates among records of different sets, and each copy with the least key of its set."""
-    agreeing, threshold = p.agreeing(), p.threshold
+    agreeing, threshold, head = p.agreeing(), p.threshold, _head(p.width)
 
     def blocks(keys, sizes, sets, home, bits, counts, blob):
         rows = np.arange(len(keys))
@@ -184,9 +188,7 @@ def _joined(routed: DataFrame, p: Params) -> DataFrame:
             yield keys[lead[copies]], keys[order[copies]], True
         leads = np.zeros(len(keys), dtype=bool)
         leads[lead] = True
-        variants = np.zeros((len(blob) // KEY_BYTES, 8), dtype=np.uint8)
-        variants[:, :KEY_BYTES] = blob.reshape(-1, KEY_BYTES)
-        v, r = variants.view(np.uint64).ravel(), np.repeat(rows, counts)
+        v, r = blob.view("<u4"), np.repeat(rows, counts)
         v, r = v[leads[r]], r[leads[r]]
         by = np.argsort(v, kind="stable")
         v, r = v[by], r[by]
@@ -197,7 +199,7 @@ def _joined(routed: DataFrame, p: Params) -> DataFrame:
                 fit = np.minimum(sizes[x], sizes[y]) >= threshold * np.maximum(sizes[x], sizes[y])
                 x, y = x[fit], y[fit]
                 differ = bits[x] ^ bits[y]
-                differ = np.bitwise_count((differ | (differ >> _ONE)) & _FIVES).sum(axis=1)
+                differ = np.bitwise_count((differ | (differ >> 1)) & 0x55).sum(axis=1)
                 good = (p.width - differ.astype(np.int64) >= agreeing) & (x != y)
                 x, y = keys[x[good]], keys[y[good]]
                 pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
@@ -211,11 +213,10 @@ def _joined(routed: DataFrame, p: Params) -> DataFrame:
         table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
         if table is None:
             return
-        column = lambda name: table.column(name).to_numpy()
         raw = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=np.uint8)
-        counts = np.array([len(x) // KEY_BYTES for x in table.column("variants").to_pylist()])
-        bits = raw("bits").view(np.uint64).reshape(len(table), -1)
-        for x, y, copy in blocks(column("key"), column("size").astype(np.int64), column("set"), table.column("home").to_numpy(), bits, counts, raw("variants")):
+        heads = raw("head").view(head)
+        lengths = pa.compute.binary_length(table.column("variants")).to_numpy()
+        for x, y, copy in blocks(heads["key"].copy(), heads["size"].astype(np.int64), heads["set"].copy(), heads["home"].astype(bool), np.ascontiguousarray(heads["bits"]), lengths // KEY_BYTES, raw("variants")):
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), copy))], names=["a", "b", "copy"])
 
     return routed.mapInArrow(run, "a long, b long, copy boolean")
@@ -224,7 +225,7 @@ def _joined(routed: DataFrame, p: Params) -> DataFrame:
 def candidates(texts: DataFrame, p: Params, rows: int) -> DataFrame:
     """Distinct candidates and copies among ``texts`` (key, text); ``rows``: how many records there are, roughly."""
     spark = texts.sparkSession
-    least = -(-rows * p.width * (KEY_BYTES + 4) // (PARTITION_MB << 20))
+    least = -(-rows * p.width * (KEY_BYTES + 8) // (PARTITION_MB << 20))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(least))
     return _joined(_routed(texts, p, parts).repartitionById(parts, "part"), p).dropDuplicates(["a", "b"])
 
