@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sievework.functions import text as T
 from sievework.operators import analytics as A, examples as X
@@ -222,3 +222,21 @@ def ingest_summary(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("domain", F.col("docling_mode").alias("mode")).agg(
         F.count_distinct("source_file").alias("documents"), F.count("*").alias("chunks"), F.count_if(F.coalesce("text", F.lit("")) == "").alias("empty_chunks"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")
     )
+
+
+@query(
+    f"""WITH {B.REJ} SELECT reject_id, target_id AS target_index, category, type, reason, coalesce(json_array_length(nullif(rejection_history, '')), 0)::int AS turns FROM rej"""
+)
+def rejected_records(spark: SparkSession, d: str) -> DataFrame:
+    """Rejection records with the number of verdicts in their history."""
+    turns = F.coalesce(F.json_array_length(F.nullif(F.col("rejection_history"), F.lit(""))), F.lit(0))
+    return X.rejections(spark, d).select("reject_id", F.col("target_id").alias("target_index"), "category", "type", "reason", turns.alias("turns"))
+
+
+@query(f"WITH {VERDICT}, l AS (SELECT reject_id, v.turn AS turn, v.score AS score, lag(v.score) OVER (PARTITION BY reject_id ORDER BY v.turn) AS before FROM v) SELECT CASE WHEN score > before THEN 'up' WHEN score < before THEN 'down' ELSE 'same' END AS move, count(*) AS n FROM l WHERE before IS NOT NULL GROUP BY 1")
+def score_moves(spark: SparkSession, d: str) -> DataFrame:
+    """How the score moves from one verdict of a target to the next."""
+    v = A.verdicts(X.rejections(spark, d))
+    w = Window.partitionBy("reject_id").orderBy("turn")
+    m = v.withColumn("before", F.lag("score").over(w)).where("before is not null")
+    return m.groupBy(F.when(F.col("score") > F.col("before"), "up").when(F.col("score") < F.col("before"), "down").otherwise("same").alias("move")).agg(F.count("*").alias("n"))

@@ -64,3 +64,12 @@ def stream_repair(spark: SparkSession, d: str) -> DataFrame:
     """Answers repaired on the way through."""
     s = _stream(spark, d, "messages").where((X.role_of(F.col("role")) == "assistant") & F.col("content").isNotNull())
     return streams.collect_stream(spark, s.select("ex_id", "pos", T.digest(T.append_closer(F.col("content"))).alias("digest")), "stream-repair")
+
+
+@query(f"SELECT coalesce(lower({B.strip('metadata.layer')}), 'none') AS layer, count(*) AS rows, sum(ex_id)::bigint AS checksum FROM examples GROUP BY 1")
+def stream_route(spark: SparkSession, d: str) -> DataFrame:
+    """Examples routed by layer as they arrive, counted from the routed files (deliveries, not keys)."""
+    layer = F.coalesce(X.label(F.col("metadata.layer")), F.lit("none"))
+    path = streams.routed(_stream(spark, d, "examples").select("ex_id", layer.alias("layer")), "layer", "stream-route")
+    back = spark.read.schema("ex_id long, layer string, epoch long").json(path)
+    return back.groupBy("layer").agg(F.count("*").alias("rows"), F.sum("ex_id").alias("checksum"))

@@ -75,3 +75,14 @@ def last_update(spark: SparkSession, df: DataFrame, name: str, keys: list[str])
     rows = spark.read.parquet(f"{out}-rows").drop("batch")
     others = [c for c in rows.columns if c not in (*keys, "epoch")]
     return rows.groupBy(*keys).agg(*[F.max_by(c, "epoch").alias(c) for c in others])
+
+
+def routed(df: DataFrame, by: str, name: str) -> str:
+    """Rows of a stream into one folder for each value of ``by``; the path. An epoch that is repeated overwrites its own files."""
+    out = scratch_path(df.sparkSession, name)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", by).json(f"{out}-rows")
+
+    each_batch(df, f"{out}-state", write, "append").awaitTermination()
+    return f"{out}-rows"

@@ -101,3 +101,21 @@ def test_fixed_chunks(spark):
 def test_chunk_arguments(size, overlap):
     with pytest.raises(ValueError):
         chunking.check(size, overlap)
+
+
+def test_prompts(spark):
+    from sievework.functions import prompts
+
+    rows = [{"field": "layer", "values": ["a", "b"]}, {"field": "x", "values": []}]
+    assert prompts.markdown_table(rows, ["field", "values"]).splitlines()[2:] == ["| layer | a, b |", "| x | any |"]
+    assert [c["n"] for c in prompts.criteria_for([{"n": 1, "layer": "all"}, {"n": 2, "layer": "knowledge"}, {"n": 3}], "behaviour")] == [1, 3]
+    assert prompts.system_prompt({"Goal": "g"}, {"Table": "t"}, ["Goal", "Table"]) == "## Goal\n\ng\n\n## Table\n\nt"
+    with pytest.raises(ValueError):
+        prompts.system_prompt({"Goal": " "}, {}, ["Goal"])
+    df = spark.createDataFrame([("a", 1), ("z", 2)], "r string, x int")
+    assert [r["p"] for r in df.select(prompts.choose({"a": "n={x}"}, F.col("r"), x=F.col("x")).alias("p")).collect()] == ["n=1", None]
+
+
+def test_render_chat(spark):
+    df = spark.createDataFrame([([("user", "q"), ("assistant", None)],)], "m array<struct<role:string,content:string>>")
+    assert df.select(T.render_chat(F.col("m")).alias("t")).first()["t"] == "<user>\nq</user>\n<assistant>\n</assistant>\n"
