@@ -50,7 +50,7 @@ def order_gate(messages: DataFrame) -> DataFrame:
     fits = F.when(F.col("rank") == 1, F.col("role") == "system").otherwise(F.col("role") == F.when(F.col("rank") % 2 == 0, "user").otherwise("assistant"))
     return m.groupBy("ex_id").agg(
         F.bool_or((F.col("rank") == 1) & (F.coalesce("role", F.lit("")) == "system")).alias("system_first"),
-        F.bool_and(F.when(F.col("rank") > 1, F.coalesce(fits, F.lit(False)))).alias("alternates"),
+        F.coalesce(F.bool_and(F.when(F.col("rank") > 1, F.coalesce(fits, F.lit(False)))), F.lit(True)).alias("alternates"),
         (F.count("*") >= 2).alias("long_enough"),
     )
 

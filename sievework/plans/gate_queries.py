@@ -86,7 +86,7 @@ def think_type_gate(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {B.MSG}, k AS (SELECT ex_id, role, row_number() OVER (PARTITION BY ex_id ORDER BY pos) AS rk FROM msg)
-SELECT ex_id, bool_or(rk = 1 AND coalesce(role, '') = 'system') AS system_first, bool_and(CASE WHEN rk > 1 THEN coalesce(role = CASE WHEN rk % 2 = 0 THEN 'user' ELSE 'assistant' END, false) END) AS alternates, count(*) >= 2 AS long_enough FROM k GROUP BY ex_id"""
+SELECT ex_id, bool_or(rk = 1 AND coalesce(role, '') = 'system') AS system_first, coalesce(bool_and(CASE WHEN rk > 1 THEN coalesce(role = CASE WHEN rk % 2 = 0 THEN 'user' ELSE 'assistant' END, false) END), true) AS alternates, count(*) >= 2 AS long_enough FROM k GROUP BY ex_id"""
 )
 def message_order_gate(spark: SparkSession, d: str) -> DataFrame:
     return gates.order_gate(X.messages(spark, d))
