@@ -28,6 +28,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from sievework.runtime import cut_lineage
+
 #: Letters that look like a Latin letter, by script. Fixed values.
 CYRILLIC_LIKE_LATIN = {
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s",
@@ -220,7 +222,7 @@ def same_look_classes(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Exact copies alone are no case, so a hot group of copies is gone before any join: the classes are found by an
     aggregate with a partial step, and only classes with at least two stored spellings stay."""
-    keys = same_look_keys(df, key, text).dropDuplicates([key])
+    keys = cut_lineage(same_look_keys(df, key, text).dropDuplicates([key]))  # read twice below; the forms are made once
     several = keys.groupBy("look").agg(F.min("stored").alias("_a"), F.max("stored").alias("_b")).where("_a <> _b").select("look")
     return keys.join(several, "look", "left_semi")
 
