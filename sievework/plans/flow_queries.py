@@ -44,11 +44,14 @@ def target_shares(spark: SparkSession, d: str) -> DataFrame:
     return targets.shares(read_table(spark, d, "generation_targets"))
 
 
-@query(f"WITH {EXPAND}, {B.EX}, done AS (SELECT DISTINCT target_id FROM ex), done_r AS (SELECT DISTINCT target_id FROM rejections) SELECT idx, e.target_id FROM e WHERE idx % 7 >= 3 AND NOT EXISTS (SELECT 1 FROM done_r WHERE done_r.target_id = e.target_id AND e.k % 2 = 0)")
+@query(
+    f"WITH {EXPAND}, {B.EX}, c AS (SELECT target_id, count(*) AS n FROM ex GROUP BY target_id), done AS (SELECT idx FROM e JOIN c USING (target_id) WHERE k <= n) SELECT idx, target_id FROM e ANTI JOIN done USING (idx)"
+)
 def resume_anti_join(spark: SparkSession, d: str) -> DataFrame:
-    """Expanded targets that a checkpoint doesn't list: here, the even repeats of targets with a rejection are done."""
-    e = target_expand(spark, d).where("idx % 7 >= 3")
-    done = read_table(spark, d, "rejections").select("target_id").distinct().join(e.where("k % 2 = 0").select("target_id", "idx"), "target_id").select("idx")
+    """Expanded targets that are still open: of each target, as many are done as it has examples."""
+    e = target_expand(spark, d)
+    counts = X.examples(spark, d).groupBy("target_id").agg(F.count("*").alias("n"))
+    done = e.join(counts, "target_id").where("k <= n").select("idx")
     return e.join(done, "idx", "left_anti").select("idx", "target_id")
 
 
@@ -129,9 +132,6 @@ def retrieve_context(spark: SparkSession, d: str) -> DataFrame:
     return t.join(asked, ["category", "type"]).join(context, "query_id", "left").select("target_id", "query_id", "context")
 
 
-RUNS = """w AS (SELECT {k} AS k, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM {t} WHERE text IS NOT NULL)"""
-
-
 @query(
     """WITH dw AS (SELECT doc_id AS k, list_filter(regexp_split_to_array(lower(text), '[\\s\\x{0B}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
 pw AS (SELECT page_id AS k, list_filter(regexp_split_to_array(lower(any_value(text)), '[\\s\\x{0B}]+'), lambda x: x <> '') AS w FROM extracted_pages WHERE text IS NOT NULL GROUP BY page_id),
