@@ -153,6 +153,13 @@ def test_no_pages(spark):
     assert scans.noise_lines(scans.find_noise(page(spark, []))).count() == 0
 
 
+def test_few_words_and_one_long_page(spark):
+    rows = [(1, "a", 1, " ".join(f"word{chr(97 + i)}" for i in range(20)) + " one-\nhalf"), (2, "b", 1, "x" * 50_000 + "\n" + "7\n" * 3), (3, None, None, "Some Title\nbody text"), (4, "b", 2, PROSE * 3000)]
+    got = {(r["page_id"], r["noise"]) for r in scans.noise_lines(scans.find_noise(page(spark, rows[:3]))).collect()}
+    assert got <= {(1, "hyphenation")}
+    scans.repaired_pages(scans.find_noise(page(spark, rows))).collect()
+
+
 def test_roman():
     assert [scans.roman(x) for x in ("iv", "ix", "xii", "iiii", "vx")] == [4, 9, 12, 0, 0]
 
