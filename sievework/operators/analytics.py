@@ -48,8 +48,7 @@ def gaps(events: DataFrame, key: str, ts: str, least_seconds: float) -> DataFram
 def tiles(df: DataFrame, by: list[str], n: int) -> DataFrame:
     """``df`` with ``tile`` 1..n over the whole table, without one task holding it."""
     numbered = order.numbered(df, by, "_rank")
-    total = F.broadcast(df.agg(F.count("*").alias("_total")))  # one row
-    return numbered.crossJoin(total).withColumn("tile", order.tile(F.col("_rank"), F.col("_total"), n)).drop("_rank", "_total")
+    return numbered.withColumn("tile", order.tile(F.col("_rank"), F.lit(df.count()), n)).drop("_rank")
 
 
 def rate(accepted: Column, rejected: Column) -> Column:

@@ -19,4 +19,4 @@ def expand(targets: DataFrame) -> DataFrame:
 def shares(targets: DataFrame) -> DataFrame:
     """type, targets, count, share of the count."""
     g = targets.groupBy("type").agg(F.count("*").alias("targets"), F.sum("target_count").alias("total"))
-    return g.crossJoin(F.broadcast(targets.agg(F.sum("target_count").alias("_all")))).select("type", "targets", "total", (F.col("total").cast("double") / F.col("_all")).alias("share"))
+    return g.withColumn("share", F.col("total").cast("double") / F.sum("total").over(Window.partitionBy(F.lit(0))))  # one row a type

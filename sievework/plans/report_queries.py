@@ -140,7 +140,8 @@ def release_gate(spark: SparkSession, d: str) -> DataFrame:
     leaks = X.messages(spark, d).agg(F.count_if(T.leaks_template(F.col("content"))).alias("leaks"))
     r = outcomes(spark, d).agg((F.count_if("ok").cast("double") / F.greatest(F.count("*"), F.lit(1))).alias("rate"))
     b = X.examples(spark, d).agg(F.count_if(F.col("layer") == "behaviour").alias("behaviour"), F.count_if(F.col("topic").isNull()).alias("no_topic"))
-    one = leaks.crossJoin(F.broadcast(r)).crossJoin(F.broadcast(b))
+    one = leaks.unionByName(r, allowMissingColumns=True).unionByName(b, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in ("leaks", "rate", "behaviour", "no_topic")])  # three rows
     return one.withColumn("released", (F.col("leaks") == 0) & (F.col("rate") >= 0.8) & (F.col("no_topic") == 0) & (F.col("behaviour") >= 500))
 
 
