@@ -14,7 +14,7 @@ Each text is brought to one form in which texts that look the same are equal:
 4. Letters and accents are composed (NFC).
 
 Defined results: a null text gives null; an empty text stays empty; a text without a visible character gives "".
-Very long texts are handled whole, in one pass. Repeated rows are kept as they are.
+Very long texts are handled whole, in one pass. Forms keep repeated rows; pairs count a key once and leave rows without one out.
 """
 
 from __future__ import annotations
@@ -213,7 +213,7 @@ def same_look_keys(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     d = digests(F.col("_text"))
     return (
-        df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).select(F.col("_key").alias(key), d.alias("_d")).select(key, "_d.look", "_d.stored").where("look is not null")
+        df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).select(F.col("_key").alias(key), d.alias("_d")).select(key, "_d.look", "_d.stored").where(F.col("look").isNotNull() & F.col(key).isNotNull())
     )
 
 

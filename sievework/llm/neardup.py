@@ -22,7 +22,7 @@ the candidates' texts is a bit set of fixed size.
 
 Defined results: records without a sequence (null or empty texts, fewer than k words) have no pair; words are maximal runs of
 letters or digits in lower case; rows that repeat an exact (key, position) with the same content count once; ties don't occur,
-pairs are ordered by key. The key must be a whole number. Extra columns are left out.
+pairs are ordered by key. The key must be a whole number; rows without one and extra columns are left out.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def _variants(digits: np.ndarray, p: Params) -> np.ndarray:
 def records(df: DataFrame, key: str, position: str, content: str) -> DataFrame:
     """``key``, ``text``: the contents of a key joined by position with a blank; a null content is empty."""
     part = F.struct(F.col(position), F.coalesce(F.col(content), F.lit("")).alias("c"))
-    return df.groupBy(F.col(key).cast("bigint").alias("key")).agg(F.array_join(F.transform(F.array_sort(F.collect_set(part)), lambda x: x["c"]), " ").alias("text"))
+    return df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("key")).agg(F.array_join(F.transform(F.array_sort(F.collect_set(part)), lambda x: x["c"]), " ").alias("text"))
 
 
 def _routed(texts: DataFrame, p: Params, parts: int) -> DataFrame:

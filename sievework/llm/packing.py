@@ -14,7 +14,7 @@
    their lengths, as attention pays), so that the groups of a step are balanced.
 
 Defined results: an item of size 0 (null or empty text) needs no place and gets no row; ties are broken by the hash of
-the key and the key; rows that repeat a key count once; extra columns are left out. An empty table gives no rows.
+the key and the key; rows that repeat a key count once if the caller makes them unique (the queries do), rows without one not at all; extra columns are left out. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     spark = sizes.sparkSession
     key_type = sizes.schema[key].dataType
     items = (
-        sizes.where(F.col(size) > 0)
+        sizes.where((F.col(size) > 0) & F.col(key).isNotNull())
         .select(F.col(key).alias("k"), F.col(size).cast("long").alias("n"))
         .select("k", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / capacity))).alias("piece"))
         .select("k", "piece", F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("piece") * capacity).alias("length"))

@@ -14,7 +14,7 @@
    rows are ranked only in the one bucket of a cell that the quota cuts; no task holds a whole cell.
 6. Report: for each target the rows it asks for, those that exist and those drawn, and the gap that stays.
 
-Defined results: rows that repeat a key count once; a null label is the value "none" where targets name it and "other"
+Defined results: rows that repeat a key count once, rows without one not at all; a null label is the value "none" where targets name it and "other"
 elsewhere; ties of keys are broken by the row's key; no targets, no rows or a size of 0 give an empty sample.
 """
 
@@ -142,7 +142,7 @@ def draw(df: DataFrame, key: str, fields: Mapping[str, Column], targets: DataFra
     wanted = [Target(r["field"], r["value"], int(r["share_permille"]), int(r["min_rows"])) for r in targets.select(F.col("field"), label("value").alias("value"), "share_permille", "min_rows").collect()]
     names = [f for f in fields if any(t.field == f for t in wanted)]
     keep = [F.when(fields[f].isin([t.value for t in wanted if t.field == f]), fields[f]).otherwise(F.lit(OTHER)).alias(f"f{k}") for k, f in enumerate(names)]
-    labelled = df.select(F.col(key).alias("k"), *keep).dropDuplicates(["k"])
+    labelled = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), *keep).dropDuplicates(["k"])
     if not names:
         empty = spark.createDataFrame([], "field string, value string, wanted long, available long, drawn long, residual double, short boolean")
         return Sample(labelled.where("false").select(F.col("k").alias(key), F.lit(1.0).alias("weight")), empty, 0)

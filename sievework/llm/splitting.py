@@ -13,7 +13,7 @@ the overlap before it shrinks to what fits. Sizes are code points. Cutting off t
 the text back, character by character.
 
 Defined results: null and empty texts have no pieces; a text within the limit is one piece; blank text is text; trailing
-white space belongs to the piece before it; rows that repeat a key count once if the caller asks (the queries do);
+white space belongs to the piece before it; rows that repeat a key count once if the caller asks (the queries do), rows without one not at all;
 other columns are left out. Texts of any length are handled whole, in time proportional to their length.
 """
 
@@ -169,7 +169,7 @@ def _alnum(text: str, p: int) -> bool:
 
 def split_items(df: DataFrame, item_kind: str, max_size: int, overlap: int, key: str, text: str = "text") -> DataFrame:
     """All pieces of all items. One narrow stage; ``cut`` is the kind of the cut at the end of the piece."""
-    items = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).where("t is not null and t <> ''")
+    items = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).where("k is not null and t is not null and t <> ''")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
