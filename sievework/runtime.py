@@ -62,3 +62,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def parallelism(df: DataFrame, least: int = 1) -> int:
     """Slots of the session; what to spread a few large rows over."""
     return max(least, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that nothing holds any more; else they stay until the driver happens to collect its garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
