@@ -38,7 +38,7 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sievework.runtime import cut_lineage
+from sievework.runtime import cut_lineage, release
 
 WORD = re.compile(r"[^\W_]+")
 #: Variants of one partition, in MB at the most in the mean; bits of the filter on candidates; pairs in a block.
@@ -299,6 +299,7 @@ def links(df: DataFrame, key: str, position: str, content: str, p: Params) -> Li
     """All links between records of ``df``; see the module. ``df`` is read twice, the second time for the candidates only."""
     texts = records(df, key, position, content)
     found = cut_lineage(candidates(texts, p, df.count()))
+    release(df.sparkSession)  # the texts and variants that were shuffled for it
     pairs = found.where("not copy").select("a", "b")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
     some = records(_only(df, key, keys), key, position, content).join(keys.distinct(), "key", "left_semi")
