@@ -38,11 +38,11 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sievework.runtime import cut_lineage, release
+from sievework.runtime import cut_lineage, parallelism, release
 
 WORD = re.compile(r"[^\W_]+")
 #: Variants of one partition, in MB at the most in the mean; bits of the filter on candidates; pairs in a block.
-PARTITION_MB = 48
+PARTITION_MB = 96
 FILTER_BITS = 1 << 23
 BLOCK = 1 << 20
 #: Bytes of a variant's hash within its partition; equal hashes of different variants fall to the two-bit digits and the exact check.
@@ -224,9 +224,8 @@ def _joined(routed: DataFrame, p: Params) -> DataFrame:
 
 def candidates(texts: DataFrame, p: Params, rows: int) -> DataFrame:
     """Distinct candidates and copies among ``texts`` (key, text); ``rows``: how many records there are, roughly."""
-    spark = texts.sparkSession
     least = -(-rows * p.width * (KEY_BYTES + 8) // (PARTITION_MB << 20))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(least))
+    parts = parallelism(texts, int(least))  # a record has a row for each partition, so no more of them than slots or memory ask for
     return _joined(_routed(texts, p, parts).repartitionById(parts, "part"), p).dropDuplicates(["a", "b"])
 
 
