@@ -318,17 +318,23 @@ def all_pairs(found: Links, key: str) -> DataFrame:
 def groups(found: Links, key: str) -> DataFrame:
     """``key``, ``group_id`` (the least key of the group), ``links``: one row for each record with a link.
 
-    Each round every record takes the least group among itself and its neighbours, and then that group's own group, until
-    nothing changes; each round is written to the shared folder. ``links`` counts links to other sets, and a copy as one."""
-    edges = found.pairs.select("a", "b").unionByName(found.copies)
-    both = cut_lineage(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    nodes = both.groupBy("a").agg(F.count("*").alias("links"), F.least(F.col("a"), F.min("b")).alias("g"))
-    now = cut_lineage(nodes.select(F.col("a").alias("node"), "links", "g"))
+    Each round the first record of every set takes the least group among itself and its neighbours, and then that group's own
+    group, until nothing changes; each round is written to the shared folder. ``links`` is the number of rows of ``all_pairs``
+    that have the record: a neighbour counts with all of its copies, and so do the record's own copies. A copy has the group
+    and the links of the first record of its set."""
+    pairs = found.pairs.select("a", "b")
+    both = cut_lineage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    copies = found.copies.groupBy("a").agg(F.count("*").alias("copies"))
+    near = both.join(copies.withColumnRenamed("a", "b"), "b", "left").groupBy("a").agg(F.sum(1 + F.coalesce("copies", F.lit(0))).alias("near"), F.min("b").alias("b"))
+    nodes = near.join(copies, "a", "full").select(F.col("a").alias("node"), (F.coalesce("near", F.lit(0)) + F.coalesce("copies", F.lit(0))).alias("links"), F.least("a", "b").alias("g"))
+    now = cut_lineage(nodes)
     while True:
         least = both.join(now.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b").groupBy("a").agg(F.min("gb").alias("m"))
-        step = now.join(least, now["node"] == least["a"]).select("node", "links", F.col("g").alias("old"), F.least("g", "m").alias("g1"))
+        step = now.join(least, now["node"] == least["a"], "left").select("node", "links", F.col("g").alias("old"), F.least("g", "m").alias("g1"))
         jump = now.select(F.col("node").alias("g1"), F.col("g").alias("g2"))
         after = cut_lineage(step.join(jump, "g1", "left").select("node", "links", "old", F.least(F.col("g1"), F.coalesce("g2", "g1")).alias("g")))
         if not after.where("g <> old").limit(1).count():
-            return after.select(F.col("node").alias(key), F.col("g").alias("group_id"), "links")
+            first = after.select("node", F.col("g").alias("group_id"), "links")
+            others = found.copies.join(first, found.copies["a"] == first["node"]).select(F.col("b").alias("node"), "group_id", "links")
+            return first.unionByName(others).withColumnRenamed("node", key)
         now = after.select("node", "links", "g")

@@ -85,6 +85,20 @@ def test_hot_copies_and_no_rows(spark):
     assert neardup.all_pairs(none, "ex_id").count() == 0 and neardup.groups(none, "ex_id").count() == 0
 
 
+def test_links_of_copies(spark):
+    """Every copy has the number of its pairs, whichever key of the set is the least."""
+    text = " ".join(f"w{i}" for i in range(120))
+    other = " ".join(f"v{i}" for i in range(120))
+    rows = [(i, 0, text) for i in (1, 5, 9)] + [(i, 0, text + " end") for i in (3, 7)] + [(4, 0, "start " + text)] + [(i, 0, other) for i in (2, 6)] + [(8, 0, "alone " * 5)]
+    found = neardup.links(spark.createDataFrame(rows, "ex_id long, pos int, content string"), "ex_id", "pos", "content", neardup.Params(k=3, threshold=0.5))
+    degree = {}
+    for a, b in neardup.all_pairs(found, "ex_id").collect():
+        degree[a], degree[b] = degree.get(a, 0) + 1, degree.get(b, 0) + 1
+    got = neardup.groups(found, "ex_id").collect()
+    assert {r["ex_id"]: r["links"] for r in got} == degree == {1: 5, 3: 5, 4: 5, 5: 5, 7: 5, 9: 5, 2: 1, 6: 1}
+    assert {r["ex_id"]: r["group_id"] for r in got} == {1: 1, 3: 1, 4: 1, 5: 1, 7: 1, 9: 1, 2: 2, 6: 2} and len(got) == 8
+
+
 # --- sampling
 
 
