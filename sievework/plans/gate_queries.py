@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sievework.functions import json_scan, text as T
 from sievework.operators import dedup, examples as X, gates, order
 from sievework.plans import base as B
+from sievework.runtime import cut_lineage
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -167,22 +168,64 @@ def split_warning(spark: SparkSession, d: str) -> DataFrame:
     return r.agg(F.count_if("drifted").alias("warned"), F.count("*").alias("examples"), F.min("ratio").alias("least"), F.max("ratio").alias("most"))
 
 
-@query(
+VALIDATED = (
     DIGEST
     + f""", {B.EX}, p AS (SELECT ex_id, bool_and(regexp_matches(content, '(?is)<think>.*?</think>')) AS closed, bool_or(regexp_matches(content, '(?i)<think>')) AS opened FROM msg WHERE role = 'assistant' GROUP BY ex_id),
 v AS (SELECT ex_id, type, layer, digest, CASE WHEN type = 'reasoning' AND NOT coalesce(closed, true) THEN 'think' WHEN type <> 'reasoning' AND coalesce(opened, false) THEN 'think' END AS t FROM ex JOIN h USING (ex_id) LEFT JOIN p USING (ex_id)),
 k AS (SELECT ex_id, min(ex_id) OVER (PARTITION BY digest) AS f FROM v WHERE t IS NULL),
-s AS (SELECT v.ex_id, v.type, v.layer, CASE WHEN t IS NOT NULL THEN 'think block' WHEN k.f <> v.ex_id THEN 'duplicate content detected' ELSE 'accepted' END AS outcome FROM v LEFT JOIN k USING (ex_id))
-SELECT outcome, coalesce(layer, 'none') AS layer, count(*) AS examples, sum(CASE WHEN type = 'reasoning' THEN 1 ELSE 0 END) AS reasoning FROM s GROUP BY 1, 2"""
+s AS (SELECT v.ex_id, v.type, v.layer, CASE WHEN t IS NOT NULL THEN 'think block' WHEN k.f <> v.ex_id THEN 'duplicate content detected' ELSE 'accepted' END AS outcome FROM v LEFT JOIN k USING (ex_id))"""
 )
-def validation_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Block gate, then duplicates among what passed, then routing: the ordered pipeline of validation."""
+
+
+def validated(spark: SparkSession, d: str) -> DataFrame:
+    """ex_id, type, layer, outcome: block gate, then duplicates among what passed."""
     m, e = X.messages(spark, d), X.examples(spark, d)
     g = gates.think_gate(m, e).join(dedup.answers_digest(m), "ex_id").join(e.select("ex_id", "type", "layer"), "ex_id")
     passed = dedup.keep_first(g.where("reason = 'ok'").select("ex_id", "digest"), "digest", "ex_id").select("ex_id", "is_duplicate")
-    s = g.join(passed, "ex_id", "left")
     outcome = F.when(F.col("reason") != "ok", "think block").when(F.col("is_duplicate"), "duplicate content detected").otherwise("accepted")
-    return s.groupBy(outcome.alias("outcome"), F.coalesce("layer", F.lit("none")).alias("layer")).agg(F.count("*").alias("examples"), F.sum((F.col("type") == "reasoning").cast("int")).alias("reasoning"))
+    return g.join(passed, "ex_id", "left").select("ex_id", "type", "layer", outcome.alias("outcome"))
+
+
+@query(
+    VALIDATED
+    + """
+SELECT outcome, coalesce(layer, 'none') AS layer, count(*) AS examples, sum(CASE WHEN type = 'reasoning' THEN 1 ELSE 0 END) AS reasoning FROM s GROUP BY 1, 2"""
+)
+def validation_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """The outcomes of validation, counted by layer."""
+    s = validated(spark, d)
+    return s.groupBy("outcome", F.coalesce("layer", F.lit("none")).alias("layer")).agg(F.count("*").alias("examples"), F.sum((F.col("type") == "reasoning").cast("int")).alias("reasoning"))
+
+
+TRACKED = (
+    VALIDATED
+    + """, w AS (SELECT ex_id, count(*) OVER o AS n, sum(CASE WHEN type = 'reasoning' THEN 1 ELSE 0 END) OVER o AS nr FROM s WHERE outcome = 'accepted' WINDOW o AS (ORDER BY ex_id ROWS UNBOUNDED PRECEDING)),
+q AS (SELECT ex_id, n, round(nr::double / n, 9) AS ratio, NOT (abs(nr::double / n - 0.75) < 0.05) AS drifted FROM w)"""
+)
+
+
+def tracked(s: DataFrame) -> DataFrame:
+    """ex_id, n, ratio, drifted: the running ratio over the accepted rows of ``s`` alone."""
+    r = order.split_ratio(s.where("outcome = 'accepted'").select("ex_id", "type"), ["ex_id"], F.coalesce(F.col("type") == "reasoning", F.lit(False)))
+    return r.select("ex_id", "n", F.round("ratio", 9).alias("ratio"), "drifted")
+
+
+@query(
+    TRACKED
+    + """
+SELECT s.ex_id AS ex_id, outcome, n, ratio, drifted, CASE WHEN outcome <> 'accepted' THEN NULL WHEN layer = 'behaviour' THEN 'train.jsonl' ELSE 'rag_index/knowledge.jsonl' END AS path FROM s LEFT JOIN q USING (ex_id)"""
+)
+def validation_results(spark: SparkSession, d: str) -> DataFrame:
+    """The ordered pipeline of validation by example: block gate, duplicates among what passed, the running ratio of what was accepted, routing."""
+    s = cut_lineage(validated(spark, d))
+    path = F.when(F.col("outcome") == "accepted", F.when(F.col("layer") == "behaviour", "train.jsonl").otherwise("rag_index/knowledge.jsonl"))
+    return s.join(tracked(s), "ex_id", "left").select("ex_id", "outcome", "n", "ratio", "drifted", path.alias("path"))
+
+
+@query(TRACKED + " SELECT count(*) FILTER (WHERE drifted) AS warned, count(*) AS examples, min(ratio) AS least, max(ratio) AS most FROM q")
+def accepted_split_warning(spark: SparkSession, d: str) -> DataFrame:
+    """How often the running ratio of the accepted examples warns."""
+    return tracked(validated(spark, d)).agg(F.count_if("drifted").alias("warned"), F.count("*").alias("examples"), F.min("ratio").alias("least"), F.max("ratio").alias("most"))
 
 
 @query(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import dedup, order, overlap, retrieve, rounds, targets
+from sievework.plans import gate_queries
 from sievework.sources import documents, sinks
 from sievework.streaming import streams
 
@@ -214,3 +215,18 @@ def test_yaml_plan(spark, tmp_path):
     (tmp_path / "q.yaml").write_text("- 1\n")
     with pytest.raises(documents.ConfigError):
         documents.load_yaml(tmp_path / "q.yaml")
+
+
+def test_ratio_over_accepted_examples_only(spark, tmp_path):
+    """Rejected and duplicate examples don't move the running ratio of validation."""
+    block = "<think>t</think> "
+    given = [(1, "reasoning", block + "a"), (2, "direct", "b"), (3, "direct", block + "c"), (4, "reasoning", block + "d"), (5, "reasoning", "e"), (6, "reasoning", block + "a"), (7, "reasoning", block + "f")]
+    messages = [(i, p, 1, r, c) for i, _, answer in given for p, r, c in ((0, "user", "q"), (1, "assistant", answer))]
+    spark.createDataFrame(messages, "ex_id long, pos int, run_id long, role string, content string").write.parquet(str(tmp_path / "messages.parquet"))
+    metadata = "struct<layer:string,type:string,ao:array<string>,text:string,topic:string,grade_target:int,source:string,turns:int>"
+    rows = [(i, 1, i, None, ("behaviour" if i % 2 else "knowledge", t, [], None, None, None, "synthetic", 1)) for i, t, _ in given]
+    spark.createDataFrame(rows, f"ex_id long, run_id long, target_id long, created_at timestamp, metadata {metadata}").write.parquet(str(tmp_path / "examples.parquet"))
+    got = {r["ex_id"]: tuple(r)[1:] for r in gate_queries.validation_results(spark, str(tmp_path)).collect()}
+    train, rag, bad, copy = "train.jsonl", "rag_index/knowledge.jsonl", "think block", "duplicate content detected"
+    assert got == {1: ("accepted", 1, 1.0, True, train), 2: ("accepted", 2, 0.5, True, rag), 3: (bad, *[None] * 4), 4: ("accepted", 3, round(2 / 3, 9), True, rag), 5: (bad, *[None] * 4), 6: (copy, *[None] * 4), 7: ("accepted", 4, 0.75, False, train)}
+    assert tuple(gate_queries.accepted_split_warning(spark, str(tmp_path)).first()) == (3, 4, 0.5, 1.0)
