@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import dedup, order, overlap, retrieve, rounds, targets
-from sievework.plans import gate_queries
+from sievework.plans import gate_queries, report_queries
 from sievework.sources import documents, sinks
 from sievework.streaming import streams
 
@@ -230,3 +230,9 @@ def test_ratio_over_accepted_examples_only(spark, tmp_path):
     train, rag, bad, copy = "train.jsonl", "rag_index/knowledge.jsonl", "think block", "duplicate content detected"
     assert got == {1: ("accepted", 1, 1.0, True, train), 2: ("accepted", 2, 0.5, True, rag), 3: (bad, *[None] * 4), 4: ("accepted", 3, round(2 / 3, 9), True, rag), 5: (bad, *[None] * 4), 6: (copy, *[None] * 4), 7: ("accepted", 4, 0.75, False, train)}
     assert tuple(gate_queries.accepted_split_warning(spark, str(tmp_path)).first()) == (3, 4, 0.5, 1.0)
+
+
+def test_five_reasons(spark, tmp_path):
+    reasons = [r for n, r in enumerate(["F", "e", "d", "C", "b", "a"], 1) for _ in range(n)] + ["E"] * 2
+    spark.createDataFrame([(i, r) for i, r in enumerate(reasons)], "reject_id long, reason string").write.parquet(str(tmp_path / "rejections.parquet"))
+    assert [tuple(r) for r in report_queries.top_five_reasons(spark, str(tmp_path)).collect()] == [("a", 6), ("b", 5), ("c", 4), ("e", 4), ("d", 3)]
