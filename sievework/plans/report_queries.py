@@ -151,6 +151,36 @@ def release_gate(spark: SparkSession, d: str) -> DataFrame:
     return one.withColumn("released", (F.col("leaks") == 0) & (F.col("rate") >= 0.8) & (F.col("no_topic") == 0) & (F.col("behaviour") >= 500))
 
 
+@query(
+    f"""WITH {B.MSG}, {OUTCOMES}, c AS (SELECT count(*) FILTER (WHERE {" OR ".join(f"contains(content, '{t}')" for t in T.TEMPLATE_TOKENS)}) AS leaks FROM msg),
+r AS (SELECT (count(*) FILTER (WHERE ok))::double / greatest(count(*), 1) AS rate FROM o), b AS (SELECT count(*) FILTER (WHERE layer = 'behaviour') AS behaviour, count(*) FILTER (WHERE topic IS NULL) AS no_topic FROM ex),
+h AS (SELECT ex_id, bool_or(coalesce(contains(content, '<think>'), false)) AS has FROM msg GROUP BY ex_id),
+k AS (SELECT count(*) FILTER (WHERE type IS DISTINCT FROM 'direct') AS no_think, count(*) FILTER (WHERE type = 'direct') AS direct_no_think FROM ex LEFT JOIN h USING (ex_id) WHERE NOT coalesce(has, false)),
+p AS (SELECT DISTINCT layer, category FROM generation_targets), u AS (SELECT DISTINCT g.layer AS layer, g.category AS category FROM generation_targets g JOIN ex USING (target_id)),
+m AS (SELECT count(*) AS missing FROM p WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.layer IS NOT DISTINCT FROM p.layer AND u.category IS NOT DISTINCT FROM p.category)),
+d AS (SELECT count(*) FILTER (WHERE type = 'direct') AS planned_direct FROM generation_targets)
+SELECT leaks, rate, behaviour, no_topic, missing, no_think, direct_no_think, planned_direct,
+ leaks = 0 AND rate >= 0.8 AND no_topic = 0 AND missing = 0 AND no_think = 0 AND (direct_no_think = 0 OR planned_direct > 0) AND behaviour >= 500 AS released FROM c, r, b, k, m, d"""
+)
+def dataset_release(spark: SparkSession, d: str) -> DataFrame:
+    """The release gate with all of its conditions: also no part of the plan (layer and category) without an example, and a
+    <think> block in every example; those of type direct may be without one if the plan has direct targets."""
+    t = read_table(spark, d, "generation_targets")
+    has = X.messages(spark, d).groupBy("ex_id").agg(F.bool_or(F.coalesce(T.think_coverage(F.col("content")), F.lit(False))).alias("has"))
+    bare = X.examples(spark, d).select("ex_id", "type").join(has, "ex_id", "left").where(~F.coalesce("has", F.lit(False)))
+    direct = F.coalesce(F.col("type") == "direct", F.lit(False))
+    k = bare.agg(F.count_if(~direct).alias("no_think"), F.count_if(direct).alias("direct_no_think"))
+    # examples are counted by target before the join, as in the rates
+    made = t.join(X.examples(spark, d).groupBy("target_id").agg(F.count("*").alias("n")), "target_id", "left").groupBy("layer", "category").agg(F.sum("n").alias("n"))
+    parts = [release_gate(spark, d).drop("released"), k, made.agg(F.count_if(F.col("n").isNull()).alias("missing")), t.agg(F.count_if(F.col("type") == "direct").alias("planned_direct"))]
+    one = parts[0]
+    for part in parts[1:]:
+        one = one.unionByName(part, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in ("leaks", "rate", "behaviour", "no_topic", "missing", "no_think", "direct_no_think", "planned_direct")])  # four rows
+    whole = (F.col("missing") == 0) & (F.col("no_topic") == 0) & (F.col("no_think") == 0) & ((F.col("direct_no_think") == 0) | (F.col("planned_direct") > 0))
+    return one.withColumn("released", (F.col("leaks") == 0) & (F.col("rate") >= 0.8) & whole & (F.col("behaviour") >= 500))
+
+
 @query(
     f"""WITH {B.EX}, n AS (SELECT count(*) AS n FROM ex), a AS (SELECT topic AS value, count(*) AS c FROM ex GROUP BY topic)
 SELECT t.value AS value, coalesce(a.c, 0)::double / n.n AS actual, t.share_permille / 1000.0::double AS target, round(coalesce(a.c, 0)::double / n.n - t.share_permille / 1000.0::double, 9) AS delta FROM sample_targets t CROSS JOIN n LEFT JOIN a ON a.value = t.value WHERE t.field = 'topic'"""

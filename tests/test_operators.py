@@ -236,3 +236,17 @@ def test_five_reasons(spark, tmp_path):
     reasons = [r for n, r in enumerate(["F", "e", "d", "C", "b", "a"], 1) for _ in range(n)] + ["E"] * 2
     spark.createDataFrame([(i, r) for i, r in enumerate(reasons)], "reject_id long, reason string").write.parquet(str(tmp_path / "rejections.parquet"))
     assert [tuple(r) for r in report_queries.top_five_reasons(spark, str(tmp_path)).collect()] == [("a", 6), ("b", 5), ("c", 4), ("e", 4), ("d", 3)]
+
+
+@pytest.mark.parametrize("bare,planned,made,released", [(None, "reasoning", 2, True), ("reasoning", "reasoning", 2, False), ("direct", "reasoning", 2, False), ("direct", "direct", 2, True), (None, "reasoning", 1, False)])
+def test_release_needs_blocks_and_every_part_of_the_plan(spark, tmp_path, bare, planned, made, released):
+    d, metadata = str(tmp_path), "struct<layer:string,type:string,ao:array<string>,text:string,topic:string,grade_target:int,source:string,turns:int>"
+    kinds = [("reasoning", "<think>t</think> a")] * 500 + ([(bare, "a")] if bare else [])
+    ex = [(i, 1, 1 + i % made, None, ("behaviour", t, [], None, "t", None, "synthetic", 1)) for i, (t, _) in enumerate(kinds)]
+    spark.createDataFrame(ex, f"ex_id long, run_id long, target_id long, created_at timestamp, metadata {metadata}").write.parquet(d + "/examples.parquet")
+    spark.createDataFrame([(i, 0, 1, "assistant", c) for i, (_, c) in enumerate(kinds)], "ex_id long, pos int, run_id long, role string, content string").write.parquet(d + "/messages.parquet")
+    spark.createDataFrame([], "reject_id long, run_id long, target_id long, reason string, rejected_at timestamp").write.parquet(d + "/rejections.parquet")
+    spark.createDataFrame([(1, "x", "reasoning", "behaviour"), (2, "y", planned, "behaviour")], "target_id long, category string, type string, layer string").write.parquet(d + "/generation_targets.parquet")
+    row = report_queries.dataset_release(spark, d).first()
+    assert row["released"] is released and report_queries.release_gate(spark, d).first()["released"]
+    assert (row["missing"], row["no_think"], row["direct_no_think"]) == (2 - made, int(bare == "reasoning"), int(bare == "direct"))
