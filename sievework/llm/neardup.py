@@ -69,9 +69,9 @@ class Params:
         return rng.integers(1, 1 << 63, self.width, dtype=np.uint64) | _ONE, rng.integers(0, 1 << 63, self.width, dtype=np.uint64)
 
     def agreeing(self) -> int:
-        """Two-bit digits that must agree: 2.7 standard deviations below what the threshold leads one to expect."""
+        """Two-bit digits that must agree: 3.5 standard deviations below what the threshold leads one to expect."""
         p = self.threshold + (1 - self.threshold) / 4
-        return int(self.width * p - 2.7 * (self.width * p * (1 - p)) ** 0.5)
+        return int(self.width * p - 3.5 *(self.width * p * (1 - p)) ** 0.5)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Near duplicates, sampling, splitting, packing: brute force, exact round trips, odd input."""
 
+import math
 import random
 import re
 
@@ -99,6 +100,12 @@ def test_links_of_copies(spark):
     assert {r["ex_id"]: r["group_id"] for r in got} == {1: 1, 3: 1, 4: 1, 5: 1, 7: 1, 9: 1, 2: 2, 6: 2} and len(got) == 8
 
 
+@pytest.mark.parametrize("p", [neardup.Params(k=3, threshold=0.5), neardup.Params()])
+def test_two_bit_digits_drop_few_pairs_at_the_threshold(p):
+    agree = p.threshold + (1 - p.threshold) / 4
+    assert sum(math.comb(p.width, i) * agree**i * (1 - agree) ** (p.width - i) for i in range(p.agreeing())) < 5e-4
+
+
 # --- sampling
 
 
