@@ -53,3 +53,16 @@ def tiles(df: DataFrame, by: list[str], n: int) -> DataFrame:
 
 def rate(accepted: Column, rejected: Column) -> Column:
     return accepted.cast("double") / F.greatest(accepted + rejected, F.lit(1))
+
+
+def evaluation(judged: DataFrame, run: str, rates: dict[str, Column]) -> DataFrame:
+    """run, metric, value: the share of the judged responses of each run for which a metric's condition holds; null isn't counted."""
+    one = judged.groupBy(run).agg(*[F.avg(c.cast("double")).alias(n) for n, c in rates.items()])
+    return one.select(run, F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in rates])).alias("x")).select(run, "x.metric", "x.value")
+
+
+def run_delta(metrics: DataFrame, run: str, first: str, second: str) -> DataFrame:
+    """metric, first, second, delta of two runs (a pivot); a metric that one run lacks has null there and as its delta."""
+    p = metrics.groupBy("metric").pivot(run, [first, second]).agg(F.first("value"))
+    p = p.select("metric", F.col(f"`{first}`").alias("first"), F.col(f"`{second}`").alias("second"))
+    return p.where("first is not null or second is not null").withColumn("delta", F.col("second") - F.col("first"))

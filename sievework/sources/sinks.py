@@ -31,6 +31,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | StructType, strict:
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+#: A line of the evaluation set; its metadata as they are, as the domains differ.
+GOLDEN = "messages array<struct<role:string,content:string>>, expected_behaviours array<string>, red_flags array<string>, metadata map<string,string>"
+
+
+def golden_set(spark: SparkSession, path: str) -> DataFrame:
+    """The evaluation set, one row an example, with ``example``, the digest of its messages, as the format has no key."""
+    return read_jsonl(spark, path, GOLDEN).withColumn("example", F.sha2(F.to_json("messages"), 256))
+
+
+def golden_checks(golden: DataFrame) -> DataFrame:
+    """example, kind (expected_behaviour or red_flag), pos, text: the two lists of the evaluation set, exploded."""
+    one = lambda c, kind: golden.select("example", F.lit(kind).alias("kind"), F.posexplode(c).alias("pos", "text"))
+    return one("expected_behaviours", "expected_behaviour").unionByName(one("red_flags", "red_flag"))
+
+
 def split_rejected(df: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected rows by whether ``reason`` is null."""
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())

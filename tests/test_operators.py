@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import dedup, order, overlap, retrieve, rounds, targets
+from sievework.operators import analytics, dedup, order, overlap, retrieve, rounds, targets
 from sievework.plans import gate_queries, report_queries
 from sievework.sources import documents, sinks
 from sievework.streaming import streams
@@ -250,3 +250,14 @@ def test_release_needs_blocks_and_every_part_of_the_plan(spark, tmp_path, bare,
     row = report_queries.dataset_release(spark, d).first()
     assert row["released"] is released and report_queries.release_gate(spark, d).first()["released"]
     assert (row["missing"], row["no_think"], row["direct_no_think"]) == (2 - made, int(bare == "reasoning"), int(bare == "direct"))
+
+
+def test_evaluation_set_and_delta(spark, tmp_path):
+    lines = ['{"messages": [{"role": "user", "content": "q"}], "expected_behaviours": ["asks", "cites"], "red_flags": ["tells all"], "metadata": {"text": "macbeth", "grade_target": 7}}', "", '{"messages": [{"role": "user", "content": "r"}], "expected_behaviours": [], "metadata": {}}']
+    (tmp_path / "golden.jsonl").write_text("\n".join(lines))
+    golden = sinks.golden_set(spark, str(tmp_path / "golden.jsonl"))
+    assert golden.select("example").distinct().count() == 2 and golden.where("metadata['grade_target'] = '7'").count() == 1
+    assert sorted(tuple(r)[1:] for r in sinks.golden_checks(golden).collect()) == [("expected_behaviour", 0, "asks"), ("expected_behaviour", 1, "cites"), ("red_flag", 0, "tells all")]
+    judged = spark.createDataFrame([("a", True, []), ("a", False, ["x"]), ("b", True, []), ("b", None, []), ("c", False, ["x"])], "run string, socratic boolean, flags array<string>")
+    m = analytics.evaluation(judged, "run", {"socratic": F.col("socratic"), "red_flag": F.size("flags") > 0})
+    assert {tuple(r) for r in analytics.run_delta(m, "run", "a", "b").collect()} == {("socratic", 0.5, 1.0, 0.5), ("red_flag", 0.5, 0.0, -0.5)}
