@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +37,14 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine) a local
-    folder is set here.
+    A cluster names it in ``spark.checkpoint.dir``; only on a local master a folder is set here where that is unset. On
+    any other master an unset folder is an error, as no folder of one machine would do.
     """
     context = spark.sparkContext
     there = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None)
     if not there:
+        if context.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         there = tempfile.mkdtemp(prefix="sievework-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(there)
@@ -64,6 +67,36 @@ def parallelism(df: DataFrame, least: int = 1) -> int:
     return max(least, df.sparkSession.sparkContext.defaultParallelism)
 
 
+@dataclass
+class Table:
+    """A table in the shared folder."""
+
+    df: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Its files go; for tables that nothing reads any more."""
+        spark = self.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str) -> Table:
+    """``df`` as a table in the shared folder. The shuffle files of the plan are removed with the end of the write, not when the
+    driver happens to collect its garbage."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(_CLEANUP, None)
+    try:
+        spark.conf.set(_CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return Table(spark.read.schema(df.schema).parquet(path), path)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of plans that nothing holds any more; else they stay until the driver happens to collect its garbage."""
     import gc
