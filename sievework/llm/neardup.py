@@ -2,23 +2,26 @@
 
 Deletion-variant signatures:
 
-1. A record's words become a set of hashed word sequences (shingles). The signature has one digit for each of
-   ``segments * digits`` hash functions, the least hash of the set (min-wise), so two records agree in a digit with the
-   probability of their similarity. Digits of 64 bits stand where a plain bit signature has bits: at a similarity of
-   0.5, a quarter of all bits differ, and segments short enough to survive that would select nothing.
-2. The signature is cut into fewer segments than digits may differ, so that one of them differs in at most one digit.
-   Of each segment every variant with one digit as a wildcard is indexed. At a similarity s, a segment of d digits shares
-   a variant with the probability s^d + d s^(d-1) (1-s); 20 segments of 5 find 98.4 % of the pairs at 0.5, 99.7 % at
-   0.55 and all but one in ten thousand from 0.65.
-3. Variants are routed to partitions by their hash, all of a record's variants for one partition in one row, together
-   with two bits of each digit. Within a partition equal variants are joined by sorting; exact copies (equal sets) are
-   one record there, so a hot group of copies costs no pairs. A pair is a candidate if the two-bit digits agree as
-   often as the threshold needs; this drops pairs that share a variant by chance.
-4. The sets of the candidates alone are made again from the texts and compared exactly.
-
-No bucket is capped; pairs leave a partition in blocks. Every partition holds a fixed number of records' variants
-(``PARTITION_MB``), so more records mean more partitions. Nothing about all records goes to the driver: the filter that keeps only
-the candidates' texts is a bit set of fixed size.
+1. A record's words become a set of hashed word sequences (shingles). The signature has one digit for each of ``functions``
+   hash functions, 16 bits of the least hash of the set (min-wise), so two records agree in a digit with the probability of
+   their similarity. Digits stand where a plain bit signature has bits: at a similarity of 0.5, a quarter of all bits
+   differ, and segments short enough to survive that would select nothing.
+2. Records of equal sets are one record from here on, the one with the least key; the others are its copies. So a hot group
+   of copies has the variants of one record.
+3. The first digits of the signature are cut into fewer segments than digits may differ, so that one of them differs in at
+   most one digit. Of each segment every variant with one digit as a wildcard is indexed. At a similarity s, a segment of d
+   digits shares a variant with the probability s^d + d s^(d-1) (1-s); 12 segments of 4 find 98.9 % of the pairs at 0.5,
+   99.8 % at 0.55 and all but one in ten thousand from 0.62.
+4. A variant is a row of fixed width (``ROW_BYTES``): variant, key, and two bits of each of 64 digits. The rows are joined by
+   equal variants, a few segments at a time (``PASSES``); the shuffle files of a pass are removed when it ends. How many
+   bytes a record has in a shuffle depends on nothing but the parameters. The rows come sorted and are read as a
+   stream, one run of equal variants after the other. A pair is a candidate if the two-bit digits agree as often as the
+   threshold needs; this drops pairs that share a variant by chance.
+5. A run of more than ``HOT`` rows isn't joined there. Its rows are written out, dealt into blocks of that size, and each
+   pair of blocks is joined in a task of its own, so no task holds a hot variant and no pair is lost.
+6. The sets of the candidates alone are made again from the texts and compared exactly.
+
+No bucket is capped. Nothing about all records goes to the driver.
 
 Defined results: records without a sequence (null or empty texts, fewer than k words) have no pair; words are maximal runs of
 letters or digits in lower case; rows that repeat an exact (key, position) with the same content count once; ties don't occur,
@@ -34,19 +37,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sievework.runtime import cut_lineage, parallelism, release
+from sievework.runtime import Table, parallelism, written
 
 WORD = re.compile(r"[^\W_]+")
-#: Variants of one partition, in MB at the most in the mean; bits of the filter on candidates; pairs in a block.
-PARTITION_MB = 96
-FILTER_BITS = 1 << 23
-BLOCK = 1 << 20
-#: Bytes of a variant's hash within its partition; equal hashes of different variants fall to the two-bit digits and the exact check.
-KEY_BYTES = 4
+#: Passes over the segments; rows of variants in a partition, in the mean; rows of a run that one task joins.
+PASSES, PARTITION_ROWS, HOT = 3, 4_000_000, 20_000
+#: Rows read at a time from the sorted stream; pairs in a block.
+CHUNK, BLOCK = 200_000, 1 << 20
+#: Bytes of the columns of a variant's row.
+ROW_BYTES = 32
+#: Keys of candidates that are broadcast to find their texts, at the most; more are joined.
+BROADCAST_KEYS = 1_000_000
 _U = np.uint64
 _ONE = _U(1)
 
@@ -56,22 +60,24 @@ class Params:
     k: int = 5  # words in a sequence
     threshold: float = 0.8
     least: int = 1  # sequences a record must have
-    segments: int = 20
-    digits: int = 5
+    segments: int = 12
+    digits: int = 4
+    functions: int = 64  # digits of a signature; two bits of each tell chance from likeness
     seed: int = 1
 
     @property
     def width(self) -> int:
+        """Digits that the segments have."""
         return self.segments * self.digits
 
-    def functions(self) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.seed)
-        return rng.integers(1, 1 << 63, self.width, dtype=np.uint64) | _ONE, rng.integers(0, 1 << 63, self.width, dtype=np.uint64)
+        return rng.integers(1, 1 << 63, self.functions, dtype=np.uint64) | _ONE, rng.integers(0, 1 << 63, self.functions, dtype=np.uint64)
 
     def agreeing(self) -> int:
         """Two-bit digits that must agree: 3.5 standard deviations below what the threshold leads one to expect."""
         p = self.threshold + (1 - self.threshold) / 4
-        return int(self.width * p - 3.5 *(self.width * p * (1 - p)) ** 0.5)
+        return int(self.functions * p - 3.5 * (self.functions * p * (1 - p)) ** 0.5)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -110,26 +116,19 @@ def _signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h.min(axis=1)
 
 
-def _two_bits(digits: np.ndarray) -> np.ndarray:
-    """Two bits of each digit, four digits a byte."""
-    n, width = digits.shape
-    padded = np.zeros((n, -(-width // 4) * 4), dtype=np.uint8)
-    padded[:, :width] = (_mixed(digits) & _U(3)).astype(np.uint8)
-    four = padded.reshape(n, -1, 4)
-    return four[:, :, 0] | four[:, :, 1] << 2 | four[:, :, 2] << 4 | four[:, :, 3] << 6
+def _planes(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of each digit, as two words of 64 bits."""
+    place = np.arange(digits.shape[1], dtype=np.uint64)
+    plane = lambda bit: (((digits.astype(np.uint64) >> _U(bit)) & _ONE) << place).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return plane(0), plane(1)
 
 
-def _head(width: int) -> np.dtype:
-    """What a row has besides its variants: key, set, size, whether this is the record's home, and the two-bit digits."""
-    return np.dtype([("key", "<i8"), ("set", "<u8"), ("size", "<u4"), ("home", "u1"), ("bits", "u1", (-(-width // 4),))])
-
-
-def _variants(digits: np.ndarray, p: Params) -> np.ndarray:
-    """Keys of all segments with one digit as a wildcard: n x (segments * digits)."""
-    n = len(digits)
-    d = _mixed(digits + np.arange(p.width, dtype=np.uint64)).reshape(n, p.segments, p.digits)
+def _variants(digits: np.ndarray, p: Params, segments: range) -> np.ndarray:
+    """Keys of the segments with one digit as a wildcard: n x (segments * digits)."""
+    n, salt = len(digits), np.arange(segments.start * p.digits, segments.stop * p.digits, dtype=np.uint64)
+    d = _mixed((salt + _ONE) * _U(0x9E3779B97F4A7C15) + digits[:, segments.start * p.digits : segments.stop * p.digits]).reshape(n, len(segments), p.digits)
     whole = np.bitwise_xor.reduce(d, axis=2)  # without one digit: the xor of the others
-    return _mixed((whole[:, :, None] ^ d).reshape(n, p.width) + np.arange(p.width, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+    return _mixed((whole[:, :, None] ^ d).reshape(n, -1) + salt * _U(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def records(df: DataFrame, key: str, position: str, content: str) -> DataFrame:
@@ -138,116 +137,154 @@ def records(df: DataFrame, key: str, position: str, content: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("key")).agg(F.array_join(F.transform(F.array_sort(F.collect_set(part)), lambda x: x["c"]), " ").alias("text"))
 
 
-def _routed(texts: DataFrame, p: Params, parts: int) -> DataFrame:
-    a, b = p.functions()
-    head = _head(p.width)
+def signatures(texts: DataFrame, p: Params) -> DataFrame:
+    """key, set (hash of the set), digits (16 bits each), of the records with enough sequences among ``texts`` (key, text)."""
+    a, b = p.hashes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, sets, signatures = [], [], [], []
+            keys, sets, out = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingles(text or "", p.k)
                 if len(s) >= max(1, p.least):
                     keys.append(key)
-                    sizes.append(len(s))
                     sets.append(xxhash.xxh3_64_intdigest(s.tobytes()))
-                    signatures.append(_signature(s, a, b))
-            if not keys:
-                continue
-            digits = np.stack(signatures)
-            bits, variants = _two_bits(digits), _variants(digits, p)
-            part = ((variants >> _U(40)) % _U(parts)).astype(np.int64)
-            row = np.repeat(np.arange(len(keys)), p.width)
-            order = np.argsort(row * parts + part.ravel(), kind="stable")
-            group = (row * parts + part.ravel())[order]
-            starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            of, to = group[starts] // parts, group[starts] % parts
-            heads = np.zeros(len(starts), dtype=head)
-            heads["key"], heads["set"], heads["size"] = np.asarray(keys, dtype=np.int64)[of], np.asarray(sets, dtype=np.uint64)[of], np.asarray(sizes)[of]
-            heads["home"], heads["bits"] = part[of, 0] == to, bits[of]
-            blob = variants.ravel()[order].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
-            offsets = (np.r_[starts, len(order)] * KEY_BYTES).astype(np.int32)
-            binary = lambda ends, data: pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-            fixed = (np.arange(len(starts) + 1) * head.itemsize).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), binary(fixed, heads.tobytes()), binary(offsets, blob)], names=["part", "head", "variants"])
-
-    return texts.mapInArrow(run, "part int, head binary, variants binary")
-
-
-def _joined(routed: DataFrame, p: Params) -> DataFrame:
-    """a, b, copy: candidates among records of different sets, and each copy with the least key of its set."""
-    agreeing, threshold, head = p.agreeing(), p.threshold, _head(p.width)
-
-    def blocks(keys, sizes, sets, home, bits, counts, blob):
-        rows = np.arange(len(keys))
-        order = np.lexsort((keys, sets))
-        first = np.r_[True, sets[order][1:] != sets[order][:-1]]
-        lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]  # of each row in this order, the row with the least key of its set
-        copies = home[order] & ~first
-        if copies.any():
-            yield keys[lead[copies]], keys[order[copies]], True
-        leads = np.zeros(len(keys), dtype=bool)
-        leads[lead] = True
-        v, r = blob.view("<u4"), np.repeat(rows, counts)
-        v, r = v[leads[r]], r[leads[r]]
-        by = np.argsort(v, kind="stable")
-        v, r = v[by], r[by]
-        step, live = 1, np.flatnonzero(v[1:] == v[:-1])
-        while len(live):  # neighbours at distance 1, 2, ... in each run of one variant
-            for at in range(0, len(live), BLOCK):
-                x, y = r[live[at : at + BLOCK]], r[live[at : at + BLOCK] + step]
-                fit = np.minimum(sizes[x], sizes[y]) >= threshold * np.maximum(sizes[x], sizes[y])
-                x, y = x[fit], y[fit]
-                differ = bits[x] ^ bits[y]
-                differ = np.bitwise_count((differ | (differ >> 1)) & 0x55).sum(axis=1)
-                good = (p.width - differ.astype(np.int64) >= agreeing) & (x != y)
-                x, y = keys[x[good]], keys[y[good]]
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-                if len(pairs):
-                    yield pairs[:, 0], pairs[:, 1], False
-            step += 1
-            live = live[live + step < len(v)]
-            live = live[v[live] == v[live + step]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-        if table is None:
-            return
-        raw = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=np.uint8)
-        heads = raw("head").view(head)
-        lengths = pa.compute.binary_length(table.column("variants")).to_numpy()
-        for x, y, copy in blocks(heads["key"].copy(), heads["size"].astype(np.int64), heads["set"].copy(), heads["home"].astype(bool), np.ascontiguousarray(heads["bits"]), lengths // KEY_BYTES, raw("variants")):
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), copy))], names=["a", "b", "copy"])
-
-    return routed.mapInArrow(run, "a long, b long, copy boolean")
+                    out.append(_signature(s, a, b))
+            digits = _mixed(np.array(out, dtype=np.uint64).reshape(-1, p.functions)).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.array(sets, dtype=np.uint64).view(np.int64)), pa.array([d.tobytes() for d in digits], pa.binary())], names=["key", "set", "digits"])
 
+    return texts.mapInArrow(run, "key long, set long, digits binary")
 
-def candidates(texts: DataFrame, p: Params, rows: int) -> DataFrame:
-    """Distinct candidates and copies among ``texts`` (key, text); ``rows``: how many records there are, roughly."""
-    least = -(-rows * p.width * (KEY_BYTES + 8) // (PARTITION_MB << 20))
-    parts = parallelism(texts, int(least))  # a record has a row for each partition, so no more of them than slots or memory ask for
-    return _joined(_routed(texts, p, parts).repartitionById(parts, "part"), p).dropDuplicates(["a", "b"])
 
+def variants(leads: DataFrame, p: Params, segments: range) -> DataFrame:
+    """v, key, lo, hi: ``len(segments) * digits`` rows for each record, of ``ROW_BYTES`` each."""
 
-def _only(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key may be in ``keys``, by a bit set of fixed size; the exact join follows later."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    slots = keys.select(slot(F.col("key")).alias("s"))
-    words = slots.select(F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
-    filled = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).collect()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for r in filled:
-        table[r["w"]] = r["bits"]
-    shared = df.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def may_be(s: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bits = shared.value.view(np.uint64)
-        for x in s:
-            x = x.to_numpy().astype(np.uint64)
-            yield pd.Series((bits[x >> _U(6)] >> (x & _U(63))) & _ONE == _ONE)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digits = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, p.functions)
+            if len(digits):
+                v, (lo, hi) = _variants(digits, p, segments), _planes(digits)
+                spread = lambda x: pa.array(np.repeat(x, v.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(v.ravel()), spread(batch.column(0).to_numpy()), spread(lo), spread(hi)], names=["v", "key", "lo", "hi"])
+
+    return leads.select("key", "digits").mapInArrow(run, "v long, key long, lo long, hi long")
+
+
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # v, key, lo, hi, sorted by v
+
+
+def _near(rows: Rows, p: Params) -> Iterator[np.ndarray]:
+    """Pairs of keys with one variant whose two-bit digits agree often enough, the smaller key first."""
+    v, key, lo, hi = rows
+    step, live = 1, np.flatnonzero(v[1:] == v[:-1])
+    while len(live):  # neighbours at distance 1, 2, ... in each run of one variant
+        for at in range(0, len(live), BLOCK):
+            x = live[at : at + BLOCK]
+            yield _alike(key, lo, hi, key, lo, hi, x, x + step, p)
+        step += 1
+        live = live[live + step < len(v)]
+        live = live[v[live] == v[live + step]]
+
+
+def _alike(ka, la, ha, kb, lb, hb, x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
+    differ = np.bitwise_count(((la[x] ^ lb[y]) | (ha[x] ^ hb[y])).view(np.uint64))
+    good = (p.functions - differ.astype(np.int64) >= p.agreeing()) & (ka[x] != kb[y])
+    a, b = ka[x[good]], kb[y[good]]
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+
+
+def _sorted_chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[Rows, bool]]:
+    """The rows of a stream sorted by v, cut between runs; and whether they belong to a run of more than ``most`` rows."""
+    held: list[Rows] = []
+    size, hot = 0, None
+
+    def parts(rows: Rows, last: bool) -> Iterator[tuple[Rows, bool]]:
+        nonlocal held, size, hot
+        v = rows[0]
+        if hot is not None:  # the rest of a long run that has begun
+            end = int(np.searchsorted(v, hot, side="right"))
+            if end:
+                yield tuple(c[:end] for c in rows), True
+                rows = tuple(c[end:] for c in rows)
+                v = rows[0]
+            if len(v):
+                hot = None
+        held, size = [], 0
+        if not len(v):
+            return
+        end = len(v) if last else int(np.searchsorted(v, v[-1], side="left"))
+        if not last and len(v) - end > most:
+            hot = v[-1]
+            yield tuple(c[end:] for c in rows), True
+        elif end < len(v):
+            held, size = [tuple(c[end:] for c in rows)], len(v) - end
+        starts = np.flatnonzero(np.r_[True, v[1:end] != v[: end - 1]]) if end else np.zeros(0, dtype=np.int64)
+        counts = np.diff(np.r_[starts, end])
+        long = np.repeat(counts > most, counts)
+        for which in (True, False):
+            if (mask := long == which).any():
+                yield tuple(c[:end][mask] for c in rows), which
+
+    for batch in batches:
+        held.append(tuple(c.to_numpy() for c in batch.columns))
+        size += batch.num_rows
+        if size >= CHUNK:
+            yield from parts(tuple(np.concatenate(c) for c in zip(*held)), False)
+    if held:
+        yield from parts(tuple(np.concatenate(c) for c in zip(*held)), True)
+
+
+def _joined(rows: DataFrame, p: Params) -> DataFrame:
+    """a, b: candidates; or, with b null, the row (v, a, lo, hi) of a hot run, which is joined later."""
+    most = HOT
 
-    return df.where(may_be(slot(F.col(key).cast("bigint"))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "v", "lo", "hi"]
+        for part, hot in _sorted_chunks(batches, most):
+            if hot:
+                v, key, lo, hi = map(pa.array, part)
+                yield pa.RecordBatch.from_arrays([key, pa.nulls(len(key), pa.int64()), v, lo, hi], names=names)
+                continue
+            for pairs in _near(part, p):
+                if len(pairs):
+                    none = pa.nulls(len(pairs), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), none, none, none], names=names)
+
+    return rows.mapInArrow(run, "a long, b long, v long, lo long, hi long")
+
+
+def _hot_pairs(hot: DataFrame, p: Params) -> DataFrame:
+    """a, b: candidates among the rows (v, a, lo, hi) of hot runs. A run of n rows is n / HOT blocks, and each pair of blocks one
+    group of at most some 2 HOT rows."""
+    sizes = hot.groupBy("v").agg(F.ceil(F.count("*") / HOT).cast("int").alias("blocks"))
+    dealt = hot.join(sizes, "v").withColumn("i", F.pmod(F.xxhash64("a"), "blocks").cast("int"))
+    met = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("v", F.col("a").alias("key"), "lo", "hi", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), (F.col("i") > F.col("j")).alias("second"))
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        one = rows["x"].iloc[0] == rows["y"].iloc[0]
+        side = lambda which: tuple(rows.loc[which, c].to_numpy() for c in ("key", "lo", "hi"))
+        (ka, la, ha), (kb, lb, hb) = (side(rows["second"] == rows["second"]),) * 2 if one else (side(~rows["second"]), side(rows["second"]))
+        out, wide = [np.zeros((0, 2), dtype=np.int64)], max(1, BLOCK // max(1, len(kb)))
+        for at in range(0, len(ka), wide):
+            x = np.repeat(np.arange(at, min(len(ka), at + wide)), len(kb))
+            out.append(_alike(ka, la, ha, kb, lb, hb, x, np.tile(np.arange(len(kb)), len(x) // max(1, len(kb))), p))
+        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+    return met.groupBy("v", "x", "y").applyInPandas(join, "a long, b long")
+
+
+def candidates(leads: DataFrame, p: Params, rows: int) -> list[Table]:
+    """Tables a, b of candidates among ``leads`` (key, digits), one row for each time they meet; ``rows``: how many records there are."""
+    out, spark = [], leads.sparkSession
+    edges = np.linspace(0, p.segments, min(PASSES, p.segments) + 1).astype(int).tolist()
+    for begin, end in zip(edges, edges[1:]):
+        parts = parallelism(leads, -(-rows * (end - begin) * p.digits // PARTITION_ROWS))
+        met = written(_joined(variants(leads, p, range(begin, end)).repartition(parts, "v").sortWithinPartitions("v"), p), "met")
+        out.append(met)
+        if (hot := met.df.where("b is null")).limit(1).count():
+            out.append(written(_hot_pairs(hot, p), "hot"))
+    return out
 
 
 def _sets(texts: DataFrame, p: Params) -> DataFrame:
@@ -296,22 +333,46 @@ class Links:
 
 def links(df: DataFrame, key: str, position: str, content: str, p: Params) -> Links:
     """All links between records of ``df``; see the module. ``df`` is read twice, the second time for the candidates only."""
-    texts = records(df, key, position, content)
-    found = cut_lineage(candidates(texts, p, df.count()))
-    release(df.sparkSession)  # the texts and variants that were shuffled for it
-    pairs = found.where("not copy").select("a", "b")
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    some = records(_only(df, key, keys), key, position, content).join(keys.distinct(), "key", "left_semi")
-    return Links(cut_lineage(_verified(pairs, _sets(some, p), p)), found.where("copy").select("a", "b"))
+    signed = written(signatures(records(df, key, position, content), p), "signatures")
+    several = signed.df.groupBy("set").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").select("set", "a")
+    copies = written(signed.df.select("set", F.col("key").alias("b")).join(several, "set").where("a <> b").select("a", "b"), "copies")
+    leads = written(signed.df.join(copies.df.select(F.col("b").alias("key")), "key", "left_anti").select("key", "digits"), "leads")
+    signed.drop()
+    met = candidates(leads.df, p, leads.df.count())
+    leads.drop()
+    every = met[0].df.select("a", "b")
+    for t in met[1:]:
+        every = every.unionByName(t.df.select("a", "b"))
+    pairs = written(every.where("b is not null").distinct(), "candidates")
+    for t in met:
+        t.drop()
+    keys = written(pairs.df.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    some = F.broadcast(keys.df) if keys.df.count() <= BROADCAST_KEYS else keys.df  # beyond, a join on the key that the records are grouped by anyway
+    texts = records(df.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint")).join(some.withColumnRenamed("key", key), key, "left_semi"), key, position, content)
+    similar = written(_verified(pairs.df, _sets(texts, p), p), "links")
+    for t in (pairs, keys):
+        t.drop()
+    return Links(similar.df, copies.df)
+
+
+#: Rows of a group of copies that meet in one task.
+COPIES = 1000
 
 
 def all_pairs(found: Links, key: str) -> DataFrame:
-    """``key``_a, ``key``_b: the links with the copies written out, the copies of one set included."""
+    """``key``_a, ``key``_b: the links with the copies written out, the copies of one set included.
+
+    That is n^2 / 2 rows for n copies; ``groups`` has one row for each record instead. The rows of a large group are dealt
+    to as many tasks as it has ``COPIES``."""
     copies = found.copies
     own = copies.select(F.col("a").alias("lead"), F.col("b").alias("member")).unionByName(copies.select(F.col("a").alias("lead"), F.col("a").alias("member")).distinct())
+    sizes = copies.groupBy(F.col("a").alias("lead")).agg(F.ceil((F.count("*") + 1) / COPIES).cast("int").alias("salts"))
+    own = own.join(sizes, "lead")
     a, b = own.select(F.col("lead").alias("a"), F.col("member").alias("ma")), own.select(F.col("lead").alias("b"), F.col("member").alias("mb"))
     near = found.pairs.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ma", "a").alias("x"), F.coalesce("mb", "b").alias("y"))
-    same = own.select("lead", F.col("member").alias("x")).join(own.select("lead", F.col("member").alias("y")), "lead").where("x < y").select("x", "y")
+    dealt = own.select("lead", F.col("member").alias("x"), F.pmod(F.xxhash64("member"), "salts").cast("int").alias("salt"))
+    spread = own.select("lead", F.col("member").alias("y"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    same = dealt.join(spread, ["lead", "salt"]).where("x < y").select("x", "y")
     return near.unionByName(same).select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
 
@@ -319,22 +380,26 @@ def groups(found: Links, key: str) -> DataFrame:
     """``key``, ``group_id`` (the least key of the group), ``links``: one row for each record with a link.
 
     Each round the first record of every set takes the least group among itself and its neighbours, and then that group's own
-    group, until nothing changes; each round is written to the shared folder. ``links`` is the number of rows of ``all_pairs``
-    that have the record: a neighbour counts with all of its copies, and so do the record's own copies. A copy has the group
-    and the links of the first record of its set."""
+    group, until nothing changes; each round is a table in the shared folder, and the one before is removed. ``links`` is the number
+    of rows of ``all_pairs`` that have the record: a neighbour counts with all of its copies, and so do the record's own copies. A
+    copy has the group and the links of the first record of its set."""
     pairs = found.pairs.select("a", "b")
-    both = cut_lineage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
     copies = found.copies.groupBy("a").agg(F.count("*").alias("copies"))
-    near = both.join(copies.withColumnRenamed("a", "b"), "b", "left").groupBy("a").agg(F.sum(1 + F.coalesce("copies", F.lit(0))).alias("near"), F.min("b").alias("b"))
-    nodes = near.join(copies, "a", "full").select(F.col("a").alias("node"), (F.coalesce("near", F.lit(0)) + F.coalesce("copies", F.lit(0))).alias("links"), F.least("a", "b").alias("g"))
-    now = cut_lineage(nodes)
+    near = both.df.join(copies.withColumnRenamed("a", "b"), "b", "left").groupBy("a").agg(F.sum(1 + F.coalesce("copies", F.lit(0))).alias("near"), F.min("b").alias("b"))
+    nodes = near.join(copies, "a", "full").select(F.col("a").alias("node"), (F.coalesce("near", F.lit(0)) + F.coalesce("copies", F.lit(0))).alias("links"), F.lit(None).cast("long").alias("old"), F.least("a", "b").alias("g"))
+    now = written(nodes, "round")
     while True:
-        least = both.join(now.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b").groupBy("a").agg(F.min("gb").alias("m"))
-        step = now.join(least, now["node"] == least["a"], "left").select("node", "links", F.col("g").alias("old"), F.least("g", "m").alias("g1"))
-        jump = now.select(F.col("node").alias("g1"), F.col("g").alias("g2"))
-        after = cut_lineage(step.join(jump, "g1", "left").select("node", "links", "old", F.least(F.col("g1"), F.coalesce("g2", "g1")).alias("g")))
-        if not after.where("g <> old").limit(1).count():
-            first = after.select("node", F.col("g").alias("group_id"), "links")
-            others = found.copies.join(first, found.copies["a"] == first["node"]).select(F.col("b").alias("node"), "group_id", "links")
-            return first.unionByName(others).withColumnRenamed("node", key)
-        now = after.select("node", "links", "g")
+        one = now.df.select("node", "links", "g")
+        least = both.df.join(one.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b").groupBy("a").agg(F.min("gb").alias("m"))
+        step = one.join(least, one["node"] == least["a"], "left").select("node", "links", F.col("g").alias("old"), F.least("g", "m").alias("g1"))
+        jump = one.select(F.col("node").alias("g1"), F.col("g").alias("g2"))
+        after = written(step.join(jump, "g1", "left").select("node", "links", "old", F.least(F.col("g1"), F.coalesce("g2", "g1")).alias("g")), "round")
+        now.drop()
+        now = after
+        if not now.df.where("g <> old").limit(1).count():
+            break
+    both.drop()
+    first = now.df.select("node", F.col("g").alias("group_id"), "links")
+    others = found.copies.join(first, found.copies["a"] == first["node"]).select(F.col("b").alias("node"), "group_id", "links")
+    return first.unionByName(others).withColumnRenamed("node", key)

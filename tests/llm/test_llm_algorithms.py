@@ -76,12 +76,15 @@ def test_links_equal_brute_force(spark, corpus, p):
     assert groups == {x: root(x) for x in list(lead)}
 
 
-def test_hot_copies_and_no_rows(spark):
+def test_hot_copies_and_no_rows(spark, monkeypatch):
     text = " ".join(f"w{i}" for i in range(120))
     df = spark.createDataFrame([(i, 0, text) for i in range(300)] + [(1000, 0, text + " end")], "ex_id long, pos int, content string")
     found = neardup.links(df, "ex_id", "pos", "content", neardup.Params(k=3, threshold=0.5))
     assert [tuple(r)[:2] for r in found.pairs.collect()] == [(0, 1000)] and found.copies.count() == 299
     assert neardup.all_pairs(found, "ex_id").count() == 301 * 300 // 2
+    monkeypatch.setattr(neardup, "HOT", 1)  # every run that has a pair is a hot one
+    again = neardup.links(df, "ex_id", "pos", "content", neardup.Params(k=3, threshold=0.5))
+    assert [tuple(r)[:2] for r in again.pairs.collect()] == [(0, 1000)]
     none = neardup.links(df.limit(0), "ex_id", "pos", "content", neardup.Params())
     assert neardup.all_pairs(none, "ex_id").count() == 0 and neardup.groups(none, "ex_id").count() == 0
 
@@ -103,7 +106,44 @@ def test_links_of_copies(spark):
 @pytest.mark.parametrize("p", [neardup.Params(k=3, threshold=0.5), neardup.Params()])
 def test_two_bit_digits_drop_few_pairs_at_the_threshold(p):
     agree = p.threshold + (1 - p.threshold) / 4
-    assert sum(math.comb(p.width, i) * agree**i * (1 - agree) ** (p.width - i) for i in range(p.agreeing())) < 5e-4
+    assert sum(math.comb(p.functions, i) * agree**i * (1 - agree) ** (p.functions - i) for i in range(p.agreeing())) < 5e-4
+
+
+def test_bytes_of_a_record_do_not_depend_on_the_partitions(spark, corpus):
+    p = neardup.Params(k=3, threshold=0.5, least=30)
+    texts = spark.createDataFrame(list(corpus.items()), "key long, text string")
+    leads = neardup.signatures(texts, p).select("key", "digits").crossJoin(spark.range(30)).select((F.col("key") + 1000 * F.col("id")).alias("key"), "digits").cache()
+    n, moved = leads.count(), []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for parts in (6, 600):
+            query = neardup.variants(leads, p, range(p.segments)).repartition(parts, "v")._jdf.queryExecution()
+            assert query.toRdd().count() == n * p.width
+            moved.append(query.executedPlan().metrics().apply("shuffleBytesWritten").value())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert moved[1] < 1.2 * moved[0] and moved[0] < (neardup.ROW_BYTES + 8) * n * p.width
+    leads.unpersist()
+
+
+def test_hot_runs_are_joined_in_blocks(spark, monkeypatch):
+    """Long runs are told from the others wherever the batches end, and their blocks give all of their pairs."""
+    p = neardup.Params(k=3, threshold=0.5, least=30)
+    rng = np.random.default_rng(3)
+    v = np.sort(rng.integers(0, 40, 5000))
+    rows = (v, np.arange(5000), rng.integers(0, 1 << 60, 5000), rng.integers(0, 1 << 60, 5000))
+    batches = [neardup.pa.RecordBatch.from_arrays([neardup.pa.array(c[i : i + 700]) for c in rows], names=list("vklh")) for i in range(0, 5000, 700)]
+    for chunk, hot in ((100, 3), (1000, 60), (1000, 10**6), (10**6, 130)):
+        monkeypatch.setattr(neardup, "CHUNK", chunk)
+        parts = list(neardup._sorted_chunks(iter(batches), hot))
+        assert sorted(np.concatenate([x[1] for x, _ in parts]).tolist()) == list(range(5000))
+        long = {int(k) for k, n in zip(*np.unique(v, return_counts=True)) if n > hot}
+        assert {int(k) for x, is_hot in parts if is_hot for k in x[0]} == long
+        assert all(len(set(x[0]) & set(y[0])) == 0 for (x, xh), (y, yh) in zip(parts, parts[1:]) if not xh or not yh)
+    hot = spark.createDataFrame([(7, i, 0, 0) for i in range(9)] + [(8, i, 0, -1 if i % 2 else 0) for i in range(5)], "v long, a long, lo long, hi long")
+    monkeypatch.setattr(neardup, "HOT", 2)
+    got = {tuple(r) for r in neardup._hot_pairs(hot, p).collect()}
+    assert got == {(a, b) for a in range(9) for b in range(a + 1, 9)}
 
 
 # --- sampling
