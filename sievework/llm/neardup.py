@@ -12,7 +12,7 @@ Deletion-variant signatures:
    most one digit. Of each segment every variant with one digit as a wildcard is indexed. At a similarity s, a segment of d
    digits shares a variant with the probability s^d + d s^(d-1) (1-s); 12 segments of 4 find 98.9 % of the pairs at 0.5,
    99.8 % at 0.55 and all but one in ten thousand from 0.62.
-4. A variant is a row of fixed width (``ROW_BYTES``): variant, key, and two bits of each of 64 digits. The rows are joined by
+4. A variant is a row of fixed width (``ROW_BYTES``): variant, key, and two bits of each of 128 digits. The rows are joined by
    equal variants, a few segments at a time (``PASSES``); the shuffle files of a pass are removed when it ends. How many
    bytes a record has in a shuffle depends on nothing but the parameters. The rows come sorted and are read as a
    stream, one run of equal variants after the other. A pair is a candidate if the two-bit digits agree as often as the
@@ -48,7 +48,7 @@ PASSES, PARTITION_ROWS, HOT = 3, 4_000_000, 20_000
 #: Rows read at a time from the sorted stream; pairs in a block.
 CHUNK, BLOCK = 200_000, 1 << 20
 #: Bytes of the columns of a variant's row.
-ROW_BYTES = 32
+ROW_BYTES = 48
 #: Keys of candidates that are broadcast to find their texts, at the most; more are joined.
 BROADCAST_KEYS = 1_000_000
 _U = np.uint64
@@ -62,7 +62,7 @@ class Params:
     least: int = 1  # sequences a record must have
     segments: int = 12
     digits: int = 4
-    functions: int = 64  # digits of a signature; two bits of each tell chance from likeness
+    functions: int = 128  # digits of a signature; two bits of each tell chance from likeness
     seed: int = 1
 
     @property
@@ -116,11 +116,14 @@ def _signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h.min(axis=1)
 
 
-def _planes(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of each digit, as two words of 64 bits."""
-    place = np.arange(digits.shape[1], dtype=np.uint64)
-    plane = lambda bit: (((digits.astype(np.uint64) >> _U(bit)) & _ONE) << place).sum(axis=1, dtype=np.uint64).view(np.int64)
-    return plane(0), plane(1)
+PLANES = ("b0", "b1", "b2", "b3")
+
+
+def _planes(digits: np.ndarray) -> list[np.ndarray]:
+    """Two bits of each of 128 digits, as four words of 64 bits: the first and second bits of the first 64 digits, then of the others."""
+    place = np.arange(64, dtype=np.uint64)
+    plane = lambda x, bit: (((x.astype(np.uint64) >> _U(bit)) & _ONE) << place[: x.shape[1]]).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return [plane(x, bit) for x in (digits[:, :64], digits[:, 64:128]) for bit in (0, 1)]
 
 
 def _variants(digits: np.ndarray, p: Params, segments: range) -> np.ndarray:
@@ -157,38 +160,40 @@ def signatures(texts: DataFrame, p: Params) -> DataFrame:
 
 
 def variants(leads: DataFrame, p: Params, segments: range) -> DataFrame:
-    """v, key, lo, hi: ``len(segments) * digits`` rows for each record, of ``ROW_BYTES`` each."""
+    """v, key, ``PLANES``: ``len(segments) * digits`` rows for each record, of ``ROW_BYTES`` each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digits = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, p.functions)
             if len(digits):
-                v, (lo, hi) = _variants(digits, p, segments), _planes(digits)
+                v = _variants(digits, p, segments)
                 spread = lambda x: pa.array(np.repeat(x, v.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(v.ravel()), spread(batch.column(0).to_numpy()), spread(lo), spread(hi)], names=["v", "key", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(v.ravel()), spread(batch.column(0).to_numpy()), *map(spread, _planes(digits))], names=["v", "key", *PLANES])
 
-    return leads.select("key", "digits").mapInArrow(run, "v long, key long, lo long, hi long")
+    return leads.select("key", "digits").mapInArrow(run, "v long, key long" + "".join(f", {c} long" for c in PLANES))
 
 
-Rows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # v, key, lo, hi, sorted by v
+Rows = tuple[np.ndarray, ...]  # v, key, PLANES, sorted by v
 
 
 def _near(rows: Rows, p: Params) -> Iterator[np.ndarray]:
     """Pairs of keys with one variant whose two-bit digits agree often enough, the smaller key first."""
-    v, key, lo, hi = rows
+    v, *side = rows
     step, live = 1, np.flatnonzero(v[1:] == v[:-1])
     while len(live):  # neighbours at distance 1, 2, ... in each run of one variant
         for at in range(0, len(live), BLOCK):
             x = live[at : at + BLOCK]
-            yield _alike(key, lo, hi, key, lo, hi, x, x + step, p)
+            yield _alike(side, side, x, x + step, p)
         step += 1
         live = live[live + step < len(v)]
         live = live[v[live] == v[live + step]]
 
 
-def _alike(ka, la, ha, kb, lb, hb, x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
-    differ = np.bitwise_count(((la[x] ^ lb[y]) | (ha[x] ^ hb[y])).view(np.uint64))
-    good = (p.functions - differ.astype(np.int64) >= p.agreeing()) & (ka[x] != kb[y])
+def _alike(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
+    """Of the pairs at x and y (key, PLANES) those whose digits agree often enough."""
+    (ka, *pa_), (kb, *pb) = left, right
+    differ = sum(np.bitwise_count(((pa_[i][x] ^ pb[i][y]) | (pa_[i + 1][x] ^ pb[i + 1][y])).view(np.uint64)).astype(np.int64) for i in (0, 2))
+    good = (p.functions - differ >= p.agreeing()) & (ka[x] != kb[y])
     a, b = ka[x[good]], kb[y[good]]
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
 
@@ -235,40 +240,40 @@ def _sorted_chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tup
 
 
 def _joined(rows: DataFrame, p: Params) -> DataFrame:
-    """a, b: candidates; or, with b null, the row (v, a, lo, hi) of a hot run, which is joined later."""
+    """a, b: candidates; or, with b null, the row (v, a, PLANES) of a hot run, which is joined later."""
     most = HOT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "v", "lo", "hi"]
+        names = ["a", "b", "v", *PLANES]
         for part, hot in _sorted_chunks(batches, most):
             if hot:
-                v, key, lo, hi = map(pa.array, part)
-                yield pa.RecordBatch.from_arrays([key, pa.nulls(len(key), pa.int64()), v, lo, hi], names=names)
+                v, key, *planes = map(pa.array, part)
+                yield pa.RecordBatch.from_arrays([key, pa.nulls(len(key), pa.int64()), v, *planes], names=names)
                 continue
             for pairs in _near(part, p):
                 if len(pairs):
                     none = pa.nulls(len(pairs), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), none, none, none], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *[none] * 5], names=names)
 
-    return rows.mapInArrow(run, "a long, b long, v long, lo long, hi long")
+    return rows.mapInArrow(run, "a long, b long, v long" + "".join(f", {c} long" for c in PLANES))
 
 
 def _hot_pairs(hot: DataFrame, p: Params) -> DataFrame:
-    """a, b: candidates among the rows (v, a, lo, hi) of hot runs. A run of n rows is n / HOT blocks, and each pair of blocks one
+    """a, b: candidates among the rows (v, a, PLANES) of hot runs. A run of n rows is n / HOT blocks, and each pair of blocks one
     group of at most some 2 HOT rows."""
     sizes = hot.groupBy("v").agg(F.ceil(F.count("*") / HOT).cast("int").alias("blocks"))
     dealt = hot.join(sizes, "v").withColumn("i", F.pmod(F.xxhash64("a"), "blocks").cast("int"))
     met = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("v", F.col("a").alias("key"), "lo", "hi", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), (F.col("i") > F.col("j")).alias("second"))
+    met = met.select("v", F.col("a").alias("key"), *PLANES, F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), (F.col("i") > F.col("j")).alias("second"))
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         one = rows["x"].iloc[0] == rows["y"].iloc[0]
-        side = lambda which: tuple(rows.loc[which, c].to_numpy() for c in ("key", "lo", "hi"))
-        (ka, la, ha), (kb, lb, hb) = (side(rows["second"] == rows["second"]),) * 2 if one else (side(~rows["second"]), side(rows["second"]))
-        out, wide = [np.zeros((0, 2), dtype=np.int64)], max(1, BLOCK // max(1, len(kb)))
-        for at in range(0, len(ka), wide):
-            x = np.repeat(np.arange(at, min(len(ka), at + wide)), len(kb))
-            out.append(_alike(ka, la, ha, kb, lb, hb, x, np.tile(np.arange(len(kb)), len(x) // max(1, len(kb))), p))
+        side = lambda which: tuple(rows.loc[which, c].to_numpy() for c in ("key", *PLANES))
+        left, right = (side(rows["second"] == rows["second"]),) * 2 if one else (side(~rows["second"]), side(rows["second"]))
+        out, wide = [np.zeros((0, 2), dtype=np.int64)], max(1, BLOCK // max(1, len(right[0])))
+        for at in range(0, len(left[0]), wide):
+            x = np.repeat(np.arange(at, min(len(left[0]), at + wide)), len(right[0]))
+            out.append(_alike(left, right, x, np.tile(np.arange(len(right[0])), len(x) // max(1, len(right[0]))), p))
         return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
     return met.groupBy("v", "x", "y").applyInPandas(join, "a long, b long")

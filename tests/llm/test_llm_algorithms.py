@@ -140,7 +140,7 @@ def test_hot_runs_are_joined_in_blocks(spark, monkeypatch):
         long = {int(k) for k, n in zip(*np.unique(v, return_counts=True)) if n > hot}
         assert {int(k) for x, is_hot in parts if is_hot for k in x[0]} == long
         assert all(len(set(x[0]) & set(y[0])) == 0 for (x, xh), (y, yh) in zip(parts, parts[1:]) if not xh or not yh)
-    hot = spark.createDataFrame([(7, i, 0, 0) for i in range(9)] + [(8, i, 0, -1 if i % 2 else 0) for i in range(5)], "v long, a long, lo long, hi long")
+    hot = spark.createDataFrame([(7, i, 0, 0, 0, 0) for i in range(9)] + [(8, i, 0, 0, 0, -1 if i % 2 else 0) for i in range(5)], "v long, a long, b0 long, b1 long, b2 long, b3 long")
     monkeypatch.setattr(neardup, "HOT", 2)
     got = {tuple(r) for r in neardup._hot_pairs(hot, p).collect()}
     assert got == {(a, b) for a in range(9) for b in range(a + 1, 9)}
