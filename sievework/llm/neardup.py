@@ -72,7 +72,7 @@ class Params:
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.seed)
-        return rng.integers(1, 1 << 63, self.functions, dtype=np.uint64) | _ONE, rng.integers(0, 1 << 63, self.functions, dtype=np.uint64)
+        return rng.integers(1, 1 << 32, self.functions, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, self.functions, dtype=np.uint32)
 
     def agreeing(self) -> int:
         """Two-bit digits that must agree: 3.5 standard deviations below what the threshold leads one to expect."""
@@ -111,7 +111,7 @@ def shingles(text: str, k: int) -> np.ndarray:
 
 
 def _signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = np.multiply.outer(a, s)  # the hashes of a set are mixed already: a multiplication and an addition permute them enough
+    h = np.multiply.outer(a, (s >> _U(32)).astype(np.uint32))  # the hashes of a set are mixed already: a multiplication and an addition permute them enough
     h += b[:, None]
     return h.min(axis=1)
 
@@ -354,8 +354,9 @@ def links(df: DataFrame, key: str, position: str, content: str, p: Params) -> Li
     keys = written(pairs.df.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
     some = F.broadcast(keys.df) if keys.df.count() <= BROADCAST_KEYS else keys.df  # beyond, a join on the key that the records are grouped by anyway
     texts = records(df.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint")).join(some.withColumnRenamed("key", key), key, "left_semi"), key, position, content)
-    similar = written(_verified(pairs.df, _sets(texts, p), p), "links")
-    for t in (pairs, keys):
+    sets = written(_sets(texts, p), "sets")
+    similar = written(_verified(pairs.df, sets.df, p), "links")
+    for t in (pairs, keys, sets):
         t.drop()
     return Links(similar.df, copies.df)
 
