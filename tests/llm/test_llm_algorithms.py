@@ -210,6 +210,40 @@ def test_cuts_are_the_highest_boundaries():
     assert all(items[a + o : b].startswith(("- ", "intro")) for a, b, o, _ in splitting.split_text(items, 120, 0))
 
 
+def own_parts(text, size, overlap=0):
+    return [text[a + o : b] for a, b, o, _ in splitting.split_text(text, size, overlap)]
+
+
+def test_pieces_are_nodes_or_runs_of_siblings():
+    """A section that is cut is never joined with the ones beside it."""
+    a, b, c = "# A\n\n" + "Alpha beta gamma. " * 40 + "\n\n", "# B\n\nShort text of B.\n\n", "# C\n\nShort text of C."
+    parts = own_parts(a + b + c, 400)
+    assert parts[-1] == b + c and "".join(parts[:-1]) == a
+    parts = own_parts(b + a + c, 400, 20)
+    assert parts[0] == b and parts[-1] == c
+
+
+def test_lists_and_elements_nest():
+    inner = "".join(f"  - inner item {i} with words\n" for i in range(6))
+    text = "- first\n" + inner + "- second\n" + inner
+    assert own_parts(text, len(text) // 2 + 5) == ["- first\n" + inner, "- second\n" + inner]
+    parts = own_parts(text, 90)
+    assert all(p.startswith(("- ", "  - ")) for p in parts) and sum("- second" in p for p in parts) == 1 and next(p for p in parts if "- second" in p).startswith("- second")
+    rows = "".join(f"<li>item {i} of the list</li>" for i in range(8))
+    page = f"<div><p>one paragraph</p><ul>{rows}</ul></div><div><p>another one</p></div>"
+    parts = own_parts(page, 120)
+    assert parts[-1] == "<div><p>another one</p></div>" and all(p.startswith("<") and p.endswith(">") for p in parts)
+    sections = "".join(f"<h1>Title {i}</h1><p>{'some words ' * 9}</p>" for i in range(4))
+    assert [p[:4] for p in own_parts(sections, 150)] == ["<h1>"] * 4
+
+
+def test_deep_nesting_and_a_heading_stays_with_its_text():
+    deep = "<div>" * 3000 + "word " * 50 + "</div>" * 3000
+    assert "".join(own_parts(deep, 100)) == deep
+    text = "# One\n\n" + "Alpha beta. " * 30 + "\n\n" + "Gamma delta. " * 5
+    assert own_parts(text, 100)[0].startswith("# One\n\nAlpha")
+
+
 @pytest.mark.parametrize("text,n", [("", 0), ("x", 1), (" " * 5, 1), ("y" * 100_000, 224), ("word " * 20_000, 224)])
 def test_long_and_empty_texts(text, n):
     assert abs(len(splitting.split_text(text, 512, 64)) - n) <= 0.02 * n
