@@ -264,21 +264,29 @@ def test_split_arguments():
 # --- packing
 
 
+def filled(plan, counts):
+    """Tokens in each window, by the runs."""
+    used = [0] * plan.windows
+    for size, n in counts.items():
+        runs = plan.runs[size]
+        for i in range(n):
+            first, window, k = next(r for r in reversed(runs) if r[0] <= i)
+            used[window + (i - first) // k] += size
+    return used
+
+
 @given(st.lists(st.integers(1, 64), max_size=200), st.sampled_from([16, 64, 100]))
 @settings(max_examples=150, deadline=None)
 def test_plan_holds_everything_once(sizes, capacity):
     sizes = [min(s, capacity) for s in sizes]
     counts = {s: sizes.count(s) for s in sizes}
     plan = packing.plan_packing(counts, capacity)
-    used = [0] * plan.containers
-    for size, n in counts.items():
-        runs = plan.runs[size]
-        for i in range(n):
-            first, container, k = next(r for r in reversed(runs) if r[0] <= i)
-            used[container + (i - first) // k] += size
-    assert all(0 < u <= capacity for u in used) and sum(used) == sum(sizes) == plan.used
-    assert sum(g[1] for g in plan.groups) == plan.containers
-    if sizes:  # no worse than first fit, decreasing, by more than a tenth and one container
+    used = filled(plan, counts)
+    contexts = [c for i, (first, c, _) in enumerate(plan.tiers) for _ in range((plan.tiers[i + 1][0] if i + 1 < len(plan.tiers) else plan.windows) - first)]
+    assert all(0 < u <= c for u, c in zip(used, contexts)) and len(contexts) == plan.windows and sum(used) == sum(sizes) == sum(g.n * g.used for g in plan.groups)
+    assert all(u >= packing.LEAST_FILL * c for u, c in zip(used, contexts) if c < capacity)
+    assert sum(n for _, n, _ in plan.costs) == plan.containers and sum(g.n for g in plan.groups) == plan.windows
+    if sizes:  # no worse than first fit, decreasing, by more than a tenth and a container for each tier
         bins: list[int] = []
         for s in sorted(sizes, reverse=True):
             for j, b in enumerate(bins):
@@ -287,7 +295,24 @@ def test_plan_holds_everything_once(sizes, capacity):
                     break
             else:
                 bins.append(s)
-        assert plan.containers <= len(bins) * 1.1 + 1
+        assert plan.containers <= len(bins) * 1.1 + 3
+
+
+def test_tiers_make_a_difference():
+    """Short items get windows of their own context, gaps of long windows are filled from shorter tiers, and each tier changes the plan."""
+    rng = np.random.default_rng(8)
+    counts = {int(s): int(n) for s, n in zip(*np.unique(np.minimum(2048, rng.lognormal(5.5, 1.1, 20_000).astype(int) + 1), return_counts=True))}
+    plans = [packing.plan_packing(counts, 2048, t) for t in ((2048,), (2048, 1024), (2048, 512), (2048, 1024, 512))]
+    contexts = [{c for _, c, _ in p.tiers} for p in plans]
+    assert contexts == [{2048}, {2048, 1024}, {2048, 512}, {2048, 1024, 512}]
+    assert len({tuple((g.context, g.n, tuple(sorted(g.holds.items()))) for g in p.groups) for p in plans}) == 4
+    fills = [sum(s * n for s, n in counts.items()) / (2048 * p.containers) for p in plans]
+    assert min(fills) > 0.985, fills
+    assert any(g.context == 2048 and max(g.holds) > 1024 and min(g.holds) <= 512 for g in plans[3].groups)
+    costs = [sum(g.n * g.used**2 for g in p.groups) for p in plans]  # what attention over whole windows costs
+    assert costs[3] < costs[0]
+    with pytest.raises(ValueError):
+        packing.plan_packing(counts, 2048, (1024, 512))
 
 
 def test_pack(spark, monkeypatch):
@@ -301,7 +326,10 @@ def test_pack(spark, monkeypatch):
     assert dict(length) == {i: n for i, n in rows if n}
     assert not got.duplicated(["doc_id", "piece"]).any()
     assert sorted(packing.split_items(packing.pack(df, 64)).toPandas()["doc_id"]) == [703, 704]
-    assert packing.packing_report(packing.pack(df, 64), 64).first()["fill"] > 0.97
+    assert got.assign(n=got["to_token"] - got["from_token"]).groupby("window_id").agg(n=("n", "sum"), c=("context", "first")).eval("n <= c").all()
+    report = {r["context"]: r for r in packing.packing_report(packing.pack(df, 64), 64).collect()}
+    assert report[None]["fill"] > 0.97 and report[None]["items"] == len(got) and sum(r["tokens"] for c, r in report.items() if c) == report[None]["tokens"]
+    assert set(report) == {None, *got["context"]} and all(0 < r["balance"] <= 1 for r in report.values())
     steps = got.groupby("step_id")["container_id"].nunique()
     assert steps.max() <= 8
     assert packing.pack(df.limit(0), 64).count() == 0
