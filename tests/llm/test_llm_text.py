@@ -109,6 +109,44 @@ def test_form_is_stable(text):
 def test_script_sets():
     assert confusables.resolved_scripts("сор") == {"Latin", "Cyrillic"} and confusables.kind_of_run("сор") == "whole"
     assert confusables.kind_of_run("рaypal") == "mixed" and confusables.kind_of_run("день") == "single"
+    assert confusables.resolved_scripts("漢字かなカナ") == {"Japanese"} and confusables.kind_of_run("漢字かなカナ") == "single"
+    assert confusables.resolved_scripts("漢字한글") == {"Korean"} and confusables.kind_of_run("漢字x") == "mixed"
+    assert [confusables.script_of(c) for c in "Ａªʰーꓮᐁ한漢ｶⅣ"] == ["Latin", "Latin", "Latin", None, "Lisu", "Canadian_Aboriginal", "Hangul", "Han", "Katakana", None]
+
+
+def test_shapes_of_unicode(spark):
+    shapes = confusables.unicode_shapes(spark)
+    like = {"\ua4ee": "A", "\u13df": "C", "\u2c9f": "o", "\u101d": "o", "\u0578": "n", "\u217c": "l", "\u2160": "I", "\u0406": "I", "\u04cf": "l", "\u03bf": "o"}
+    for other, plain in like.items():
+        assert confusables.normal_form(f"a w{other}rd with it", shapes) == f"a w{plain}rd with it", other
+    for gone in ("\ufe00", "\u206a", "\ufff9", "\U000e0041", "\u00ad", "\u180b", "\u115f"):
+        assert confusables.normal_form(f"a wo{gone}rd", shapes) == "a word", gone
+    assert confusables.normal_form("Гамма и Пи", shapes) == confusables.normal_form("\u0393амма и \u03a0и", shapes)
+    for text in ("\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f", "α a ρ p", "день з 3", "שלום", "日本語のテキスト", "ဝဏ္ဏ မြန်မာ"):
+        assert confusables.normal_form(text, shapes) == text, text
+    assert len(shapes.shape) > 300 and len({x for v in shapes.spelled.values() for x in v}) > 20
+    for a, b in (("x²", "x2"), ("α", "a"), ("\U0001d400", "A"), ("ı", "i"), ("rn", "m"), ("0", "O"), ("1", "l")):
+        assert confusables.normal_form(a, shapes) != confusables.normal_form(b, shapes)
+
+
+@given(st.text(alphabet="abcеорсху ABΑΒ\u13df\u2c9f\u101d\u0578ГΓПкκвé", max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_form_with_all_shapes_is_stable(spark, text):
+    shapes = confusables.unicode_shapes(spark)
+    form = confusables.normal_form(text, shapes)
+    assert confusables.normal_form(form, shapes) == form
+
+
+def test_many_copies_and_one_variant(spark):
+    """The work follows the result, not the square of the copies."""
+    import time
+
+    text = "the same words over and over"
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, text.replace("o", "о")).otherwise(text).alias("text"))
+    confusables.same_look_pairs(df.limit(10)).count()
+    began = time.time()
+    assert confusables.same_look_pairs(df).where("doc_id_a = 7 or doc_id_b = 7").count() == 39_999
+    assert time.time() - began < 30
 
 
 def test_same_look_pairs(spark):
