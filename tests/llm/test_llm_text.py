@@ -259,6 +259,48 @@ def test_held_out_accuracy():
         assert np.mean([x == label for x in found]) > 0.9, (label, found[:10])
 
 
+#: Defects made by other means than those of the fit: refusals in words that its grammar doesn't put together, answers cut at a fixed place,
+#: questions given back in a frame that the fit doesn't use, answers in languages that no list has.
+OTHER_REFUSALS = [
+    "Answering would break the terms I operate under.", "I am going to pass.", "Let me stop you there, I cannot do that.", "You will have to find this elsewhere, I can't take it on.", "I won't.",
+    "Helping here is not something I am able to do.", "Sorry, no.", "I'm not comfortable answering.", "That is not a conversation I can have.", "It is my policy not to respond to requests like this one.", "I have to refuse.",
+    "There are things I cannot write, and this is one of them.", "Unfortunately this falls outside of what I may help with.", "Being an AI, I can't form a view on this.", "I do not answer such questions.", "I am unable to comply with your request.",
+]
+OTHER_LANGUAGES = [
+    "Dans ce chapitre, la lanterne cache ce que Ada ne veut pas dire, et le lecteur le comprend avant elle. Relis la page pour voir comment.",
+    "En esta parte el espejo oculta lo que Ben no quiere decir, y el lector lo entiende antes que él. Lee otra vez la página para ver cómo.",
+    "W tej scenie bohater jeszcze nie wie, że list został zgubiony, dlatego warto przeczytać ten fragment ponownie i poszukać powodu.",
+]
+
+
+def test_defects_made_by_other_means():
+    sound = made(600, 1)
+    german = [(GERMAN.replace("Strophe", x), f"In der {x} sieht man, wie der Autor die {y} zeigt. Das ist für den Leser nicht neu, aber es wird hier noch einmal gesagt.") for x in ("Szene", "Zeile", "Stelle", "Seite") for y in ("Angst", "Schuld", "Liebe", "Macht")]
+    real = [(q, OTHER_REFUSALS[i % 4]) for i, (q, _) in enumerate(made(24, 3))]  # the table has refusals of its own, of four of the forms
+    model = pairs.train(sound + german + real)
+    fresh = made(160, 2)
+    cases = {
+        "truncated": [(q, a[: int(len(a) * x)].rstrip(" .,?")) for x in (0.4, 0.55, 0.7) for q, a in fresh],
+        "refusal": [(q, OTHER_REFUSALS[4 + i % 12]) for i, (q, _) in enumerate(fresh)],
+        "copies_question": [(q, f"So what you would like to find out is this: {q}") for q, _ in fresh],
+        "other_language": [(q, OTHER_LANGUAGES[i % 3]) for i, (q, _) in enumerate(fresh)],
+    }
+    recall = {}
+    for label, items in cases.items():
+        found = model.defects([q for q, _ in items], [a for _, a in items])
+        recall[label] = float(np.mean([x == label for x in found]))
+    print(recall)
+    assert np.mean([x is None for x in model.defects(*map(list, zip(*fresh)))]) > 0.97
+    assert recall["truncated"] > 0.9 and recall["copies_question"] > 0.9 and recall["other_language"] > 0.6 and recall["refusal"] > 0.5, recall
+
+
+def test_counts_leave_out_the_own_answer():
+    counts = pairs.Counts.of(["alpha beta gamma.", "alpha delta."])
+    rest = pairs._Others(counts, ["alpha beta gamma.", "alpha delta."])
+    slot = pairs._slot(np.array([pairs.zlib.crc32(w.encode()) for w in ("alpha", "beta")], dtype=np.uint64), 11)
+    assert rest.words(np.array([0, 0]), slot).tolist() == [1, 0] and rest.words(np.array([1, 1]), slot).tolist() == [1, 1] and counts.answers == 2
+
+
 def test_answers_without_reasoning():
     assert pairs.answer_of("<THINK>a</think> b <think>c") == "b" and pairs.answer_of(None) == ""
     assert pairs.is_empty("​ … -") and not pairs.is_empty("é")
