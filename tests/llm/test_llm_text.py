@@ -296,7 +296,7 @@ def test_defects_made_by_other_means():
 
 def test_counts_leave_out_the_own_answer():
     counts = pairs.Counts.of(["alpha beta gamma.", "alpha delta."])
-    rest = pairs._Others(counts, ["alpha beta gamma.", "alpha delta."])
+    rest = pairs._Others(counts, pairs._tokens(["alpha beta gamma.", "alpha delta."]))
     slot = pairs._slot(np.array([pairs.zlib.crc32(w.encode()) for w in ("alpha", "beta")], dtype=np.uint64), 11)
     assert rest.words(np.array([0, 0]), slot).tolist() == [1, 0] and rest.words(np.array([1, 1]), slot).tolist() == [1, 1] and counts.answers == 2
 
