@@ -112,9 +112,21 @@ def backoff_seconds(attempt: Column, base: float = 2.0) -> Column:
 
 
 def feedback(assessment: Column, issues: Column) -> Column:
-    """The assessment and a line for each issue (struct with severity, criterion, description, suggestion)."""
-    lines = F.transform(issues, lambda i: F.concat(F.lit("- ["), i["severity"], F.lit("] "), i["criterion"], F.lit(": "), i["description"], F.coalesce(F.concat(F.lit(" -> "), i["suggestion"]), F.lit(""))))
-    return F.concat_ws("\n", assessment, F.array_join(lines, "\n"))
+    """The assessment and, if there are issues (struct with severity, criterion, description, suggestion), a line for each under a heading."""
+    lines = F.transform(issues, lambda i: F.concat(F.lit("- ["), i["severity"], F.lit("] "), i["criterion"], F.lit(": "), i["description"], F.lit(" (suggestion: "), F.coalesce(i["suggestion"], F.lit("")), F.lit(")")))
+    return F.when(F.size(issues) > 0, F.concat(assessment, F.lit("\n\nIssues:\n"), F.array_join(lines, "\n"))).otherwise(assessment)
+
+
+def generator_message(category: Column, kind: Column, layer: Column, grade: Column, context: Column, feedback_: Column) -> Column:
+    """What the generator is asked: the target, the retrieved context if there is one, and what was wrong with the last reply."""
+    head = fill("Generate a training example for:\n  Category: {category}\n  Type: {kind}\n  Layer: {layer}\n  Grade Target: {grade}\n", category=category, kind=kind, layer=layer, grade=F.coalesce(grade.cast("string"), F.lit("null (grade-agnostic)")))
+    has = lambda c: F.coalesce(c, F.lit("")) != ""
+    label = F.when(feedback_.startswith("FORMAT ERROR:"), "Format Error").otherwise("Coach Feedback")
+    return F.concat(
+        head,
+        F.when(has(context), F.concat(F.lit("\n--- Curriculum Context (use this to ground your example) ---\n"), context, F.lit("\n--- End Curriculum Context ---\n"))).otherwise(""),
+        F.when(has(feedback_), F.concat(F.lit("\n--- "), label, F.lit(" (revise based on this) ---\n"), feedback_, F.lit("\n--- End Feedback ---\n"))).otherwise(""),
+    )
 
 
 def first_text(*columns: Column) -> Column:

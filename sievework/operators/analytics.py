@@ -18,12 +18,13 @@ def share(df: DataFrame, keys: list[str], within: list[str] | None = None, name:
 
 def distribution(df: DataFrame, fields: list[str]) -> DataFrame:
     """field, value, n: the distribution of each field at once (grouping sets), null as "null"."""
-    sets = ", ".join(f"({f})" for f in fields)
-    view = f"_dist_{abs(hash(tuple(fields))) % 10**6}"
-    df.select(*fields).createOrReplaceTempView(view)
-    cases = " ".join(f"WHEN grouping({f}) = 0 THEN '{f}'" for f in fields)
-    values = " ".join(f"WHEN grouping({f}) = 0 THEN coalesce(cast({f} AS string), 'null')" for f in fields)
-    return df.sparkSession.sql(f"SELECT CASE {cases} END AS field, CASE {values} END AS value, count(*) AS n FROM {view} GROUP BY GROUPING SETS ({sets})").select("field", "value", "n")
+    one = df.select(*fields).groupingSets([[F.col(f)] for f in fields], *[F.col(f) for f in fields])
+    counted = one.agg(F.count("*").alias("n"), *[F.grouping(f).alias(f"_g{k}") for k, f in enumerate(fields)])
+    of, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, f in enumerate(fields):
+        mine = F.col(f"_g{k}") == 0
+        of, value = F.when(mine, F.lit(f)).otherwise(of), F.when(mine, F.coalesce(F.col(f).cast("string"), F.lit("null"))).otherwise(value)
+    return counted.select(of.alias("field"), value.alias("value"), "n")
 
 
 def completeness(df: DataFrame, fields: list[str]) -> DataFrame:

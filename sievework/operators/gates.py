@@ -60,7 +60,7 @@ def schema_errors(examples: DataFrame) -> DataFrame:
     checks = [
         F.when(~F.coalesce(F.col("layer").isin(*LAYERS), F.lit(False)), "layer"),
         F.when(~F.coalesce(F.col("type").isin(*TYPES), F.lit(False)), "type"),
-        F.when(F.exists(F.coalesce("ao", F.array().cast("array<string>")), lambda x: ~F.coalesce(x.rlike(r"^AO[1-6]\z"), F.lit(False))), "ao"),
+        F.when(F.exists(F.coalesce("ao", F.array().cast("array<string>")), lambda x: ~F.coalesce(x.rlike(r"^AO[1-6]\n?\z"), F.lit(False))), "ao"),
         F.when(~F.coalesce(F.col("grade_target").between(4, 9), F.lit(True)), "grade_target"),
         F.when(~F.coalesce(F.col("turns") >= 1, F.lit(False)), "turns"),
         F.when(~F.coalesce(F.col("source").isin(*SOURCES), F.lit(False)), "source"),
@@ -92,6 +92,57 @@ def write_gate(messages: DataFrame, examples: DataFrame, allowed: dict[str, list
     return e.select("ex_id", F.coalesce(*steps).alias("error"))
 
 
+def _listed(values: Column) -> Column:
+    """An array of texts as a bracketed list of quoted ones."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+
+
+def document_gate(line: Column, allowed: dict[str, list[str]]) -> Column:
+    """The first failing check of an example as a JSON document, or null: JSON, messages, each message's keys and role, the system's
+    first, metadata, layer, type, the last answer's block against the type, and values outside ``allowed`` (field -> values), element by
+    element where the value is a list. Built-in functions only."""
+    get = F.get_json_object
+    messages, metadata = get(line, "$.messages"), get(line, "$.metadata")
+    each = F.from_json(messages, "array<string>")
+    names = F.array(F.lit("content"), F.lit("role"))
+    empty = F.array().cast("array<string>")
+
+    def of_message(m: Column, i: Column) -> Column:
+        at = F.concat(F.lit("Error: messages["), i.cast("string"), F.lit("]"))
+        keys = F.coalesce(F.json_object_keys(m), empty)
+        unexpected, missing, role = F.array_sort(F.array_except(keys, names)), F.array_except(names, keys), get(m, "$.role")
+        return (
+            F.when(~F.coalesce(m.startswith("{"), F.lit(False)), F.concat(at, F.lit(" is not an object")))
+            .when((F.size(unexpected) > 0) | (F.size(missing) > 0), F.concat(at, F.lit(" has invalid keys (unexpected="), _listed(unexpected), F.lit(", missing="), _listed(missing), F.lit(")")))
+            .when(~F.coalesce(role.isin("system", "user", "assistant"), F.lit(False)), F.concat(at, F.lit(".role invalid value "), F.coalesce(F.concat(F.lit("'"), role, F.lit("'")), F.lit("None")), F.lit(" (expected: system, user, assistant)")))
+        )
+
+    first = F.get(F.filter(F.transform(each, of_message), lambda e: e.isNotNull()), F.lit(0))
+    answers = F.filter(each, lambda m: (get(m, "$.role") == "assistant") & get(m, "$.content").isNotNull())
+    last = T.close_blocks(get(F.element_at(answers, -1), "$.content"))
+    layer, kind = get(line, "$.metadata.layer"), get(line, "$.metadata.type")
+    has = F.coalesce(last.contains("<think>"), F.lit(False))
+    any_answer = F.size(answers) > 0
+    steps = [
+        F.when(~F.coalesce(F.is_valid_utf8(line) & get(line, "$").isNotNull(), F.lit(False)), F.lit("Error: Invalid JSON")),
+        F.when(~F.coalesce(messages.startswith("["), F.lit(False)) | (F.coalesce(F.size(each), F.lit(0)) < 1), F.lit("Error: Missing required field 'messages'")),
+        first,
+        F.when(get(F.get(each, F.lit(0)), "$.role") != "system", F.lit("Error: messages[0].role must be 'system'")),
+        F.when(~F.coalesce(metadata.startswith("{"), F.lit(False)), F.lit("Error: Missing required field 'metadata'")),
+        F.when(~F.coalesce(layer.isin(*LAYERS), F.lit(False)), F.concat(F.lit("Error: Invalid metadata.layer value '"), F.coalesce(layer, F.lit("None")), F.lit("' (expected: behaviour, knowledge)"))),
+        F.when(~F.coalesce(kind.isin(*TYPES), F.lit(False)), F.concat(F.lit("Error: Invalid metadata.type value '"), F.coalesce(kind, F.lit("None")), F.lit("' (expected: reasoning, direct)"))),
+        F.when((kind == "reasoning") & any_answer & ~has, F.lit("Error: metadata.type is 'reasoning' but assistant content has no <think> block")),
+        F.when((kind == "direct") & any_answer & has, F.lit("Error: metadata.type is 'direct' but assistant content contains <think> block")),
+    ]
+    for field, values in allowed.items():
+        value = get(line, f"$.metadata.{field}")
+        wrong = F.filter(F.from_json(value, "array<string>"), lambda v: ~F.coalesce(v.isin(*values), F.lit(False)))
+        listed = F.coalesce(value.startswith("["), F.lit(False))
+        steps.append(F.when(listed & (F.size(wrong) > 0), F.concat(F.lit(f"Error: metadata.{field} contains invalid values: "), _listed(F.transform(wrong, lambda v: F.coalesce(v, F.lit("None")))))))
+        steps.append(F.when(~listed & value.isNotNull() & ~value.isin(*values), F.concat(F.lit(f"Error: metadata.{field} value '"), value, F.lit("' not in valid values"))))
+    return F.coalesce(*steps)
+
+
 def accepted(verdict: Column) -> Column:
     """Acceptance of a verdict (struct of decision, score, layer_correct, type_correct, issues)."""
     return (verdict["decision"] == "accept") & (verdict["score"] >= 3) & verdict["layer_correct"] & verdict["type_correct"] & ~F.exists(verdict["issues"], lambda i: i["severity"] == "blocking")

@@ -105,7 +105,7 @@ def run(targets: DataFrame, generator: Model = stub_generator, critic: Model = s
     turn = 0
     while turn < max_turns:
         turn += 1
-        ask = F.concat(T.fill(PROMPT, category=F.col("category"), type=F.col("type"), layer=F.col("layer"), grade=F.col("grade")), F.when(F.col("feedback") != "", F.concat(F.lit("\n--- Feedback (revise based on this) ---\n"), "feedback", F.lit("\n"))).otherwise(""))
+        ask = T.generator_message(F.col("category"), F.col("type"), F.col("layer"), F.col("grade"), F.lit(None).cast("string"), F.col("feedback"))
         todo = state.withColumn("prompt", ask)
         if slots:
             todo = todo.coalesce(slots)

@@ -247,3 +247,20 @@ def template_route(spark: SparkSession, d: str) -> DataFrame:
     t = read_table(spark, d, "generation_targets")
     many = (F.col("type") == "reasoning") & F.col("category").startswith("Feedback")
     return t.select("target_id", "category", F.when(many, "multi_turn").when(F.col("type") == "reasoning", "reasoning").otherwise("direct").alias("template"))
+
+
+MESSAGE = """'Generate a training example for:' || chr(10) || '  Category: ' || category || chr(10) || '  Type: ' || type || chr(10) || '  Layer: ' || layer || chr(10) || '  Grade Target: ' || coalesce(grade_targets[1]::int::varchar, 'null (grade-agnostic)') || chr(10)"""
+
+
+@query(
+    f"""SELECT target_id, {MESSAGE} AS plain, {MESSAGE} || chr(10) || '--- Curriculum Context (use this to ground your example) ---' || chr(10) || category || chr(10) || '--- End Curriculum Context ---' || chr(10) AS grounded,
+ {MESSAGE} || chr(10) || '--- ' || CASE WHEN type = 'direct' THEN 'Format Error' ELSE 'Coach Feedback' END || ' (revise based on this) ---' || chr(10) || CASE WHEN type = 'direct' THEN 'FORMAT ERROR: none' ELSE 'weak' || chr(10) || chr(10) || 'Issues:' || chr(10) || '- [minor] ' || category || ': short (suggestion: quote)' END || chr(10) || '--- End Feedback ---' || chr(10) AS revised FROM generation_targets"""
+)
+def generator_messages(spark: SparkSession, d: str) -> DataFrame:
+    """What the generator is asked for each target: plain, with context, and after a reply that failed."""
+    t = read_table(spark, d, "generation_targets")
+    issue = F.array(F.struct(F.lit("minor").alias("severity"), F.col("category").alias("criterion"), F.lit("short").alias("description"), F.lit("quote").alias("suggestion")))
+    said = F.when(F.col("type") == "direct", F.lit("FORMAT ERROR: none")).otherwise(T.feedback(F.lit("weak"), issue))
+    none, grade = F.lit(None).cast("string"), F.get("grade_targets", F.lit(0))
+    ask = lambda context, feedback: T.generator_message(F.col("category"), F.col("type"), F.col("layer"), grade, context, feedback)
+    return t.select("target_id", ask(none, none).alias("plain"), ask(F.col("category"), none).alias("grounded"), ask(none, said).alias("revised"))

@@ -119,6 +119,36 @@ def write_gate_errors(spark: SparkSession, d: str) -> DataFrame:
     return gates.write_gate(X.messages(spark, d), X.examples(spark, d), {"topic": values})
 
 
+AO = [f"AO{i}" for i in range(1, 7)]
+
+
+@query(
+    f"""WITH raw2 AS (SELECT ex_id, pos, any_value(role) AS role, any_value(content) AS content FROM messages GROUP BY ex_id, pos),
+m AS (SELECT ex_id, row_number() OVER (PARTITION BY ex_id ORDER BY pos) - 1 AS i, role, content FROM raw2), allowed AS (SELECT list(value) AS v FROM sample_targets WHERE field = 'topic'),
+e AS (SELECT ex_id, any_value(metadata) AS md FROM examples GROUP BY ex_id),
+b AS (SELECT ex_id, arg_min('Error: messages[' || i || '].role invalid value ' || coalesce('''' || role || '''', 'None') || ' (expected: system, user, assistant)', i) AS bad FROM m WHERE role IS NULL OR role NOT IN ('system', 'user', 'assistant') GROUP BY ex_id),
+f AS (SELECT ex_id, arg_min(role, i) AS first_role FROM m WHERE role IS NOT NULL GROUP BY ex_id),
+a AS (SELECT ex_id, arg_max(content, i) AS c FROM m WHERE role = 'assistant' AND content IS NOT NULL GROUP BY ex_id),
+j AS (SELECT e.ex_id, md, bad, first_role, c, list_filter(coalesce(md.ao, []), lambda x: x IS NULL OR NOT list_contains(['AO1','AO2','AO3','AO4','AO5','AO6'], x)) AS wrong FROM e LEFT JOIN b USING (ex_id) LEFT JOIN f USING (ex_id) LEFT JOIN a USING (ex_id))
+SELECT ex_id, CASE WHEN bad IS NOT NULL THEN bad WHEN first_role <> 'system' THEN 'Error: messages[0].role must be ''system'''
+ WHEN NOT coalesce(md.layer IN ('behaviour', 'knowledge'), false) THEN 'Error: Invalid metadata.layer value ''' || coalesce(md.layer, 'None') || ''' (expected: behaviour, knowledge)'
+ WHEN NOT coalesce(md.type IN ('reasoning', 'direct'), false) THEN 'Error: Invalid metadata.type value ''' || coalesce(md.type, 'None') || ''' (expected: reasoning, direct)'
+ WHEN md.type = 'reasoning' AND c IS NOT NULL AND NOT contains(c, '<think>') THEN 'Error: metadata.type is ''reasoning'' but assistant content has no <think> block'
+ WHEN md.type = 'direct' AND c IS NOT NULL AND contains(c, '<think>') THEN 'Error: metadata.type is ''direct'' but assistant content contains <think> block'
+ WHEN len(wrong) > 0 THEN 'Error: metadata.ao contains invalid values: [' || array_to_string(list_transform(wrong, lambda x: '''' || coalesce(x, 'None') || ''''), ', ') || ']'
+ WHEN md.topic IS NOT NULL AND NOT list_contains((SELECT v FROM allowed), md.topic) THEN 'Error: metadata.topic value ''' || md.topic || ''' not in valid values'
+ WHEN md.grade_target IS NOT NULL AND md.grade_target NOT BETWEEN 4 AND 9 THEN 'Error: metadata.grade_target value ''' || md.grade_target::int || ''' not in valid values' END AS error FROM j"""
+)
+def document_gate_errors(spark: SparkSession, d: str) -> DataFrame:
+    """The write gate over each example as one JSON document, with roles and labels as they are stored."""
+    m = X.read_table(spark, d, "messages").select("ex_id", "pos", "role", "content").dropDuplicates(["ex_id", "pos"])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "role", "content"))), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    e = X.read_table(spark, d, "examples").dropDuplicates(["ex_id"]).select("ex_id", "metadata").join(m.groupBy("ex_id").agg(parts.alias("messages")), "ex_id", "left")
+    line = F.to_json(F.struct("messages", "metadata"), {"ignoreNullFields": "false"})
+    topics = [r["value"] for r in X.read_table(spark, d, "sample_targets").where("field = 'topic'").collect()]  # the schema table: a few rows
+    return e.select("ex_id", gates.document_gate(line, {"ao": AO, "topic": topics, "grade_target": [str(g) for g in range(4, 10)]}).alias("error"))
+
+
 ROUTE = f"WITH {B.EX}, r AS (SELECT ex_id, coalesce(layer, 'none') AS layer, CASE WHEN layer = 'behaviour' THEN 'train.jsonl' ELSE 'rag_index/knowledge.jsonl' END AS path FROM ex)"
 
 

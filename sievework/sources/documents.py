@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 import keyword
+import logging
 import os
 import re
 from collections.abc import Callable, Iterator
-from fnmatch import fnmatch
 from pathlib import Path
 from urllib.parse import unquote
 
@@ -103,30 +103,32 @@ def _cells(line: str) -> list[str]:
 
 
 def table(body: str, columns: dict[str, str], drop_empty: bool = False) -> list[dict[str, str]]:
-    """Rows of the first pipe table with a header among ``columns`` (header -> field). Unknown columns are left out, short rows
-    filled with "". ``drop_empty``: empty cells are dropped before columns are counted, as an older form of the documents has it."""
-    wanted = {k.lower(): v for k, v in columns.items()}
+    """Rows of the pipe table whose header has one of ``columns`` (header -> field), by its spelling. Lines without a pipe are passed over,
+    unknown columns left out, short rows filled with "". ``drop_empty``: empty cells are dropped before columns are counted, as
+    an older form of the documents has it."""
     header: list[str] | None = None
     rows = []
     for line in body.splitlines():
-        if not line.strip().startswith("|"):
-            if header:
-                break
+        if "|" not in line:
             continue
         cells = _cells(line)
         if drop_empty:
             cells = [c for c in cells if c]
-        if header is None:
-            if any(c.lower() in wanted for c in cells):
-                header = [c.lower() for c in cells]
+        if not cells or all(re.fullmatch(r":?-+:?", c) for c in cells):
             continue
-        if all(re.fullmatch(r":?-+:?", c) for c in cells):
+        if header is None:
+            header = cells if any(c in columns for c in cells) else None
             continue
         cells += [""] * (len(header) - len(cells))
-        rows.append({wanted[h]: c for h, c in zip(header, cells) if h in wanted})
+        rows.append({columns[h]: c for h, c in zip(header, cells) if h in columns})
     return rows
 
 
+def key_values(body: str, key: str, value: str) -> dict[str, str]:
+    """A table of two columns as a mapping; rows without a key are left out, and of a key that is there twice the last counts."""
+    return {r.get("key", ""): r.get("value", "") for r in table(body, {key: "key", value: "value"}) if r.get("key")}
+
+
 def table_frame(spark: SparkSession, rows: list[dict[str, str]], fields: list[str]) -> DataFrame:
     """Table rows as text columns; the coercions of ``functions.text`` type them."""
     return spark.createDataFrame([tuple(r.get(f, "") for f in fields) for r in rows], ", ".join(f"{f} string" for f in fields))
@@ -204,17 +206,25 @@ def safe_pattern(pattern: str) -> bool:
     return bool(pattern) and ".." not in pattern.split("/") and ".." not in pattern and not pattern.startswith("/")
 
 
+_LOG = logging.getLogger(__name__)
+
+
 def resolve_files(folder: str | Path, patterns: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """(path, mode) of the files that match, each once, in the mode of its first pattern; nothing outside the folder."""
+    """(path, mode) of the files that match, each once, in the mode of its first pattern, sorted within a pattern; nothing outside the
+    folder. ``*`` stays within one folder, ``**`` doesn't. Unsafe patterns and files are logged and passed over."""
     root = Path(folder).resolve()
     found: dict[Path, str] = {}
     for pattern, mode in patterns:
         if not safe_pattern(pattern):
-            raise ValueError(f"unsafe pattern: {pattern!r}")
-        for path in sorted(root.rglob("*")):
-            real = path.resolve()
-            if path.is_file() and fnmatch(str(path.relative_to(root)), pattern) and real.is_relative_to(root):
+            _LOG.error("unsafe pattern: %s", pattern)
+            continue
+        for path in sorted(root.glob(pattern)):
+            if not path.is_file():
+                continue
+            if (real := path.resolve()).is_relative_to(root):
                 found.setdefault(real, mode)
+            else:
+                _LOG.error("outside the folder: %s", path)
     if not found:
         raise FileNotFoundError(f"no file in {folder} matches")
     return [(str(p), m) for p, m in found.items()]

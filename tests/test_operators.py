@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import analytics, dedup, order, overlap, retrieve, rounds, targets
+from sievework.operators import analytics, dedup, gates, order, overlap, retrieve, rounds, targets
 from sievework.plans import gate_queries, report_queries
 from sievework.sources import documents, sinks
 from sievework.streaming import streams
@@ -102,7 +102,9 @@ def test_config_document():
     with pytest.raises(documents.ConfigError):
         documents.sections("## Goal\nx")
     rows = documents.table("x\n| File Pattern | Mode | Other |\n|---|:-:|---|\n| *.pdf | vlm | z |\n| a.pdf |\n\n| b | c |", {"File Pattern": "pattern", "Mode": "mode"})
-    assert rows == [{"pattern": "*.pdf", "mode": "vlm"}, {"pattern": "a.pdf", "mode": ""}]
+    assert rows == [{"pattern": "*.pdf", "mode": "vlm"}, {"pattern": "a.pdf", "mode": ""}, {"pattern": "b", "mode": "c"}]
+    assert documents.table("| file pattern |\n|---|\n| x |", {"File Pattern": "pattern"}) == []
+    assert documents.key_values("| Layer | Path |\n|---|---|\n| a | x |\ntext\n| | y |\n| a | z |", "Layer", "Path") == {"a": "z"}
     assert documents.fenced_json('```json\n{"messages": [], "metadata": {}}\n```') == {"messages": [], "metadata": {}}
     assert len(documents.config_problems({})) == 8
 
@@ -111,9 +113,11 @@ def test_files(tmp_path):
     (tmp_path / "a.pdf").write_text("x")
     (tmp_path / "b.txt").write_text("x")
     assert [(p.rsplit("/", 1)[1], m) for p, m in documents.resolve_files(tmp_path, [("a.*", "vlm"), ("*", "standard")])] == [("a.pdf", "vlm"), ("b.txt", "standard")]
-    for bad in ("../x", "/etc/*"):
-        with pytest.raises(ValueError):
-            documents.resolve_files(tmp_path, [(bad, "standard")])
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "c.pdf").write_text("x")
+    name = lambda found: [p.rsplit("/", 1)[1] for p, _ in found]
+    assert name(documents.resolve_files(tmp_path, [("../x", "standard"), ("/etc/*", "standard"), ("*.pdf", "standard")])) == ["a.pdf"]
+    assert name(documents.resolve_files(tmp_path, [("**/*.pdf", "standard")])) == ["a.pdf", "c.pdf"]
     with pytest.raises(FileNotFoundError):
         documents.resolve_files(tmp_path, [("*.zip", "standard")])
 
@@ -261,3 +265,29 @@ def test_evaluation_set_and_delta(spark, tmp_path):
     judged = spark.createDataFrame([("a", True, []), ("a", False, ["x"]), ("b", True, []), ("b", None, []), ("c", False, ["x"])], "run string, socratic boolean, flags array<string>")
     m = analytics.evaluation(judged, "run", {"socratic": F.col("socratic"), "red_flag": F.size("flags") > 0})
     assert {tuple(r) for r in analytics.run_delta(m, "run", "a", "b").collect()} == {("socratic", 0.5, 1.0, 0.5), ("red_flag", 0.5, 0.0, -0.5)}
+
+
+def test_document_gate_reaches_every_step(spark):
+    msg = '{"role": "%s", "content": "%s"}'
+    good = ", ".join((msg % ("system", "s"), msg % ("user", "q"), msg % ("assistant", "<think>x</think> a")))
+    doc = '{"messages": [%s], "metadata": {"layer": "behaviour", "type": "reasoning", "ao": ["AO1"], "grade": 7}}'
+    cases = {
+        doc % good: None,
+        "not json": "Error: Invalid JSON",
+        "[1]": "Error: Missing required field 'messages'",
+        '{"messages": []}': "Error: Missing required field 'messages'",
+        '{"messages": [5]}': "Error: messages[0] is not an object",
+        '{"messages": [{" role": "user", "content": "x"}]}': "Error: messages[0] has invalid keys (unexpected=[' role'], missing=['role'])",
+        doc % (good + ", " + msg % ("gpt", "x")): "Error: messages[3].role invalid value 'gpt' (expected: system, user, assistant)",
+        doc % (msg % ("user", "x")): "Error: messages[0].role must be 'system'",
+        '{"messages": [%s]}' % good: "Error: Missing required field 'metadata'",
+        (doc % good).replace("behaviour", "x"): "Error: Invalid metadata.layer value 'x' (expected: behaviour, knowledge)",
+        (doc % good).replace("reasoning", "x"): "Error: Invalid metadata.type value 'x' (expected: reasoning, direct)",
+        (doc % good).replace("<think>x</think> a", "a"): "Error: metadata.type is 'reasoning' but assistant content has no <think> block",
+        (doc % good).replace("reasoning", "direct"): "Error: metadata.type is 'direct' but assistant content contains <think> block",
+        (doc % good).replace('"AO1"', '"AO1", "AO9"'): "Error: metadata.ao contains invalid values: ['AO9']",
+        (doc % good).replace('"grade": 7', '"grade": 12'): "Error: metadata.grade value '12' not in valid values",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, line string")
+    got = {r["i"]: r["e"] for r in df.select("i", gates.document_gate(F.col("line"), {"ao": ["AO1"], "grade": ["7"]}).alias("e")).collect()}
+    assert got == dict(enumerate(cases.values()))
