@@ -8,8 +8,8 @@ from sievework.functions.text import digest
 
 
 def answers_digest(messages: DataFrame) -> DataFrame:
-    """ex_id, digest of the answers of an example joined without a mark in between."""
-    parts = F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.struct("pos", F.coalesce("content", F.lit("")).alias("c"))))), lambda x: x["c"])
+    """ex_id, digest of the answers of an example joined without a mark in between. One aggregate; a message delivered again is one element of the set."""
+    parts = F.transform(F.array_sort(F.collect_set(F.when(F.col("role") == "assistant", F.struct("pos", F.coalesce("content", F.lit("")).alias("c"))))), lambda x: x["c"])
     return messages.groupBy("ex_id").agg(digest(F.array_join(parts, "")).alias("digest"))
 
 

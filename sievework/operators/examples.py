@@ -24,10 +24,20 @@ def label(value: Column) -> Column:
     return F.lower(strip(value))
 
 
+def delivered(spark: SparkSession, d: str) -> DataFrame:
+    """ex_id, pos, run_id, role, content as delivered: a key may repeat with equal content. For aggregates that repeats don't change, and
+    for ``once`` over narrow columns; the content itself then never goes through a shuffle."""
+    return read_table(spark, d, "messages").select("ex_id", "pos", "run_id", role_of(F.col("role")).alias("role"), "content")
+
+
+def once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """ex_id, pos and ``columns``, one row for each key: what is computed of a message is narrow, so it is computed first."""
+    return df.select("ex_id", "pos", *columns).dropDuplicates(["ex_id", "pos"])
+
+
 def messages(spark: SparkSession, d: str) -> DataFrame:
-    """ex_id, pos, run_id, role, content; one row for each key."""
-    raw = read_table(spark, d, "messages").select("ex_id", "pos", "run_id", role_of(F.col("role")).alias("role"), "content")
-    return raw.dropDuplicates(["ex_id", "pos"])
+    """ex_id, pos, run_id, role, content; one row for each key. The content goes through the shuffle; see ``delivered``."""
+    return delivered(spark, d).dropDuplicates(["ex_id", "pos"])
 
 
 def examples(spark: SparkSession, d: str) -> DataFrame:
@@ -45,5 +55,5 @@ def rejections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nested(msgs: DataFrame) -> DataFrame:
-    """ex_id, messages: the conversation of each example as an array in order."""
-    return msgs.groupBy("ex_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "role", "content"))), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+    """ex_id, messages: the conversation of each example as an array in order. A message delivered again is one element of the set."""
+    return msgs.groupBy("ex_id").agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "role", "content"))), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))

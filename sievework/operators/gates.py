@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievework.functions import text as T
+from sievework.operators.examples import once
 
 LAYERS = ("behaviour", "knowledge")
 TYPES = ("reasoning", "direct")
@@ -24,7 +25,7 @@ def defect_of(role: Column, content: Column) -> Column:
 
 
 def defect_gate(messages: DataFrame) -> DataFrame:
-    """ex_id, reason: the defect of the first message that has one, else "ok". One aggregate with a partial step."""
+    """ex_id, reason: the defect of the first message that has one, else "ok". One aggregate with a partial step, which repeats don't change."""
     marked = messages.select("ex_id", "pos", defect_of(F.col("role"), F.col("content")).alias("reason"))
     first = F.min(F.when(F.col("reason").isNotNull(), F.struct("pos", "reason")))["reason"]
     return marked.groupBy("ex_id").agg(F.coalesce(first, F.lit("ok")).alias("reason"))
@@ -46,7 +47,7 @@ def order_gate(messages: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     rank = F.row_number().over(Window.partitionBy("ex_id").orderBy("pos"))
-    m = messages.select("ex_id", "pos", "role").withColumn("rank", rank)
+    m = once(messages, "role").withColumn("rank", rank)
     fits = F.when(F.col("rank") == 1, F.col("role") == "system").otherwise(F.col("role") == F.when(F.col("rank") % 2 == 0, "user").otherwise("assistant"))
     return m.groupBy("ex_id").agg(
         F.bool_or((F.col("rank") == 1) & (F.coalesce("role", F.lit("")) == "system")).alias("system_first"),
@@ -73,11 +74,13 @@ def write_gate(messages: DataFrame, examples: DataFrame, allowed: dict[str, list
 
     Order: no messages, first message isn't the system's, layer, type, the last answer's block against the type, values
     outside ``allowed`` (field -> values)."""
-    last = F.max_by(T.close_blocks(F.col("content")), F.col("pos"))
-    per = messages.groupBy("ex_id").agg(F.min_by("role", "pos").alias("first_role"), F.count("*").alias("n"))
-    answers = messages.where("role = 'assistant'").groupBy("ex_id").agg(last.alias("last_answer"), F.count("*").alias("answers"))
-    e = examples.join(per, "ex_id", "left").join(answers, "ex_id", "left")
-    has = F.coalesce("last_answer", F.lit("")).contains("<think>")
+    answer = F.col("role") == "assistant"
+    per = messages.groupBy("ex_id").agg(
+        F.min_by("role", "pos").alias("first_role"), F.count("*").alias("n"), F.count_if(answer).alias("answers"),
+        F.max_by(F.coalesce(T.close_blocks(F.col("content")).contains("<think>"), F.lit(False)), F.when(answer, F.col("pos"))).alias("last_has"),
+    )
+    e = examples.join(per, "ex_id", "left")
+    has = F.coalesce("last_has", F.lit(False))
     steps = [
         F.when(F.coalesce("n", F.lit(0)) == 0, F.lit("Error: Missing required field 'messages'")),
         F.when(F.coalesce("first_role", F.lit("")) != "system", F.lit("Error: messages[0].role must be 'system'")),
@@ -150,7 +153,7 @@ def accepted(verdict: Column) -> Column:
 
 def turn_mismatch(messages: DataFrame, examples: DataFrame) -> DataFrame:
     """ex_id, turns, counted: examples whose turns are not the user messages that an answer follows."""
-    counted = messages.groupBy("ex_id").agg(F.count_if(F.col("role") == "user").alias("counted"))
+    counted = once(messages, "role").groupBy("ex_id").agg(F.count_if(F.col("role") == "user").alias("counted"))
     return examples.select("ex_id", "turns").join(counted, "ex_id").where("turns is distinct from counted")
 
 
@@ -175,5 +178,5 @@ def cleaned(messages: DataFrame) -> DataFrame:
 
 def loader_rows(messages: DataFrame) -> DataFrame:
     """What a trainer reads: roles by their aliases, empty messages dropped, a record kept even if all of its messages are."""
-    keep = F.coalesce("content", F.lit("")) != ""
-    return messages.groupBy("ex_id").agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))
+    keep = F.col("filled")
+    return once(messages, (F.coalesce("content", F.lit("")) != "").alias("filled")).groupBy("ex_id").agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Rows and queries of one block, in the mean; a task holds one block of each.
-ROWS, QUERIES = 50_000, 2048
+ROWS, QUERIES = 20_000, 512
 LEAST, MOST = 1, 20
 
 
@@ -35,7 +35,13 @@ def nearest(rows: DataFrame, queries: DataFrame, n: int = 5, metric: str = "l2",
             d[q["k"].to_numpy()[:, None] == k[None, :]] = 0.0  # a row and itself, without the rounding of the product
         else:
             d = 1 - dot / np.maximum(np.sqrt((w * w).sum(1))[:, None] * np.sqrt((v * v).sum(1))[None, :], 1e-300)
-        order = np.lexsort((np.broadcast_to(k, d.shape), np.round(d, 9)), axis=1)[:, :n]
+        rounded = np.round(d, 9)
+        m = min(n, d.shape[1])
+        worst = np.partition(rounded, m - 1, axis=1)[:, m - 1 : m]
+        order = np.empty((len(d), m), dtype=np.int64)
+        for i, row in enumerate(rounded):  # only the rows that may be among the best are sorted, ties of the last one included
+            near = np.flatnonzero(row <= worst[i])
+            order[i] = near[np.lexsort((k[near], row[near]))][:m]
         return pd.DataFrame({"query_id": np.repeat(q["k"].to_numpy(), order.shape[1]), "vec_id": k[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
 
     pick = lambda df: df.select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v")).where("v is not null")

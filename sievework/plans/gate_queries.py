@@ -28,12 +28,12 @@ GATE = f"WITH {B.MSG}, d AS (SELECT ex_id, pos, {B.DEFECT} AS reason FROM msg),
 
 @query(GATE + " SELECT ex_id, reason FROM g")
 def defect_gate_rows(spark: SparkSession, d: str) -> DataFrame:
-    return gates.defect_gate(X.messages(spark, d))
+    return gates.defect_gate(X.delivered(spark, d))
 
 
 @query(GATE + " SELECT reason, count(*) AS examples FROM g GROUP BY reason")
 def defect_gate_summary(spark: SparkSession, d: str) -> DataFrame:
-    return gates.defect_gate(X.messages(spark, d)).groupBy("reason").agg(F.count("*").alias("examples"))
+    return gates.defect_gate(X.delivered(spark, d)).groupBy("reason").agg(F.count("*").alias("examples"))
 
 
 CLEAN = f"""WITH {B.MSG}, f AS (SELECT ex_id,
@@ -45,7 +45,7 @@ a AS (SELECT ex_id, CASE WHEN placeholder THEN 'removed_degenerate' WHEN empty T
 
 @query(CLEAN + " SELECT ex_id, action FROM a")
 def clean_actions(spark: SparkSession, d: str) -> DataFrame:
-    return gates.clean_action(X.messages(spark, d))
+    return gates.clean_action(X.delivered(spark, d))
 
 
 @query(
@@ -54,7 +54,7 @@ def clean_actions(spark: SparkSession, d: str) -> DataFrame:
  count(*) FILTER (WHERE action = 'repaired_think') AS repaired_think, count(*) FILTER (WHERE action = 'unchanged') AS unchanged, count(*) FILTER (WHERE action NOT LIKE 'removed%') AS kept FROM a"""
 )
 def clean_stats(spark: SparkSession, d: str) -> DataFrame:
-    a, n = gates.clean_action(X.messages(spark, d)), lambda v: F.count_if(F.col("action") == v).alias(v)
+    a, n = gates.clean_action(X.delivered(spark, d)), lambda v: F.count_if(F.col("action") == v).alias(v)
     return a.agg(F.count("*").alias("total"), n("removed_degenerate"), n("removed_empty"), n("repaired_think"), n("unchanged"), F.count_if(~F.col("action").startswith("removed")).alias("kept"))
 
 
@@ -63,7 +63,10 @@ def clean_stats(spark: SparkSession, d: str) -> DataFrame:
     + f" SELECT m.ex_id, m.pos, sha256(CASE WHEN role = 'assistant' AND {B.opens('content')} > {B.closes('content')} THEN content || '</think>' ELSE content END) AS digest FROM msg m JOIN a USING (ex_id) WHERE action NOT LIKE 'removed%'"
 )
 def cleaned_messages(spark: SparkSession, d: str) -> DataFrame:
-    return gates.cleaned(X.messages(spark, d)).select("ex_id", "pos", T.digest(F.col("content")).alias("digest"))
+    m = X.delivered(spark, d)
+    kept = gates.clean_action(m).where("not startswith(action, 'removed')").select("ex_id")
+    closed = F.when(F.col("role") == "assistant", T.append_closer(F.col("content"))).otherwise(F.col("content"))
+    return X.once(m, T.digest(closed).alias("digest")).join(kept, "ex_id", "left_semi")
 
 
 PAIRED = r"regexp_replace(content, '(?is)(<think>.*?)<think>', '\1</think>', 'g')"
@@ -73,8 +76,8 @@ PAIRED = r"regexp_replace(content, '(?is)(<think>.*?)<think>', '\1</think>', 'g'
     f"WITH {B.MSG}, n AS (SELECT ex_id, pos, content, {PAIRED} AS p FROM msg WHERE role = 'assistant' AND content IS NOT NULL), o AS (SELECT ex_id, pos, content, CASE WHEN contains(lower(content), '</think>') THEN content WHEN contains(lower(p), '<think>') AND NOT contains(lower(p), '</think>') THEN p || '</think>' ELSE p END AS fixed FROM n) SELECT ex_id, pos, sha256(fixed) AS digest, fixed <> content AS changed FROM o"
 )
 def normalise_think(spark: SparkSession, d: str) -> DataFrame:
-    m = X.messages(spark, d).where("role = 'assistant' and content is not null").withColumn("fixed", T.close_blocks(F.col("content")))
-    return m.select("ex_id", "pos", T.digest(F.col("fixed")).alias("digest"), (F.col("fixed") != F.col("content")).alias("changed"))
+    m = X.delivered(spark, d).where("role = 'assistant' and content is not null").withColumn("fixed", T.close_blocks(F.col("content")))
+    return X.once(m, T.digest(F.col("fixed")).alias("digest"), (F.col("fixed") != F.col("content")).alias("changed"))
 
 
 @query(
@@ -82,7 +85,7 @@ def normalise_think(spark: SparkSession, d: str) -> DataFrame:
 SELECT ex_id, CASE WHEN type = 'reasoning' AND NOT coalesce(closed, true) THEN 'reasoning example missing <think>...</think> block' WHEN type <> 'reasoning' AND coalesce(opened, false) THEN 'direct example contains unexpected <think> block' ELSE 'ok' END AS reason FROM ex LEFT JOIN p USING (ex_id)"""
 )
 def think_type_gate(spark: SparkSession, d: str) -> DataFrame:
-    return gates.think_gate(X.messages(spark, d), X.examples(spark, d))
+    return gates.think_gate(X.delivered(spark, d), X.examples(spark, d))
 
 
 @query(
@@ -90,7 +93,7 @@ def think_type_gate(spark: SparkSession, d: str) -> DataFrame:
 SELECT ex_id, bool_or(rk = 1 AND coalesce(role, '') = 'system') AS system_first, coalesce(bool_and(CASE WHEN rk > 1 THEN coalesce(role = CASE WHEN rk % 2 = 0 THEN 'user' ELSE 'assistant' END, false) END), true) AS alternates, count(*) >= 2 AS long_enough FROM k GROUP BY ex_id"""
 )
 def message_order_gate(spark: SparkSession, d: str) -> DataFrame:
-    return gates.order_gate(X.messages(spark, d))
+    return gates.order_gate(X.delivered(spark, d))
 
 
 @query(
@@ -116,7 +119,7 @@ SELECT ex_id, CASE WHEN n = 0 THEN 'Error: Missing required field ''messages'''
 )
 def write_gate_errors(spark: SparkSession, d: str) -> DataFrame:
     values = [r["value"] for r in X.read_table(spark, d, "sample_targets").where("field = 'topic'").collect()]  # the schema table: a few rows
-    return gates.write_gate(X.messages(spark, d), X.examples(spark, d), {"topic": values})
+    return gates.write_gate(X.delivered(spark, d), X.examples(spark, d), {"topic": values})
 
 
 AO = [f"AO{i}" for i in range(1, 7)]
@@ -173,7 +176,7 @@ DIGEST = f"WITH {B.MSG}, h AS (SELECT ex_id, sha256(coalesce(string_agg(coalesce
 
 @query(DIGEST + " SELECT ex_id, digest, ex_id <> min(ex_id) OVER (PARTITION BY digest) AS is_duplicate FROM h")
 def dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.keep_first(dedup.answers_digest(X.messages(spark, d)), "digest", "ex_id")
+    return dedup.keep_first(dedup.answers_digest(X.delivered(spark, d)), "digest", "ex_id")
 
 
 @query("WITH x AS (SELECT doc_id, sha256(text) AS digest FROM documents WHERE text IS NOT NULL) SELECT count(*) AS documents, count(DISTINCT digest) AS texts, count(*) - count(DISTINCT digest) AS duplicates FROM x")
@@ -209,7 +212,7 @@ s AS (SELECT v.ex_id, v.type, v.layer, CASE WHEN t IS NOT NULL THEN 'think block
 
 def validated(spark: SparkSession, d: str) -> DataFrame:
     """ex_id, type, layer, outcome: block gate, then duplicates among what passed."""
-    m, e = X.messages(spark, d), X.examples(spark, d)
+    m, e = X.delivered(spark, d), X.examples(spark, d)
     g = gates.think_gate(m, e).join(dedup.answers_digest(m), "ex_id").join(e.select("ex_id", "type", "layer"), "ex_id")
     passed = dedup.keep_first(g.where("reason = 'ok'").select("ex_id", "digest"), "digest", "ex_id").select("ex_id", "is_duplicate")
     outcome = F.when(F.col("reason") != "ok", "think block").when(F.col("is_duplicate"), "duplicate content detected").otherwise("accepted")
@@ -262,24 +265,25 @@ def accepted_split_warning(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {B.MSG}, {B.EX}, c AS (SELECT ex_id, count(*) FILTER (WHERE role = 'user') AS counted FROM msg GROUP BY ex_id) SELECT ex_id, turns, counted FROM ex JOIN c USING (ex_id) WHERE turns IS DISTINCT FROM counted"
 )
 def turn_count_mismatch(spark: SparkSession, d: str) -> DataFrame:
-    return gates.turn_mismatch(X.messages(spark, d), X.examples(spark, d))
+    return gates.turn_mismatch(X.delivered(spark, d), X.examples(spark, d))
 
 
 @query(f"WITH {B.MSG} SELECT ex_id, count(*) FILTER (WHERE coalesce(content, '') <> '') AS kept, count(*) FILTER (WHERE coalesce(content, '') = '') AS dropped FROM msg GROUP BY ex_id")
 def loader_normalise(spark: SparkSession, d: str) -> DataFrame:
-    return gates.loader_rows(X.messages(spark, d))
+    return gates.loader_rows(X.delivered(spark, d))
 
 
 @query(f"WITH {B.MSG} SELECT coalesce(role, 'none') AS role, count(*) AS messages, count(*) FILTER (WHERE " + " OR ".join(f"contains(content, '{t}')" for t in T.TEMPLATE_TOKENS) + ") AS leaks FROM msg GROUP BY 1")
 def template_leak(spark: SparkSession, d: str) -> DataFrame:
-    return X.messages(spark, d).groupBy(F.coalesce("role", F.lit("none")).alias("role")).agg(F.count("*").alias("messages"), F.count_if(T.leaks_template(F.col("content"))).alias("leaks"))
+    m = X.once(X.delivered(spark, d), "role", T.leaks_template(F.col("content")).alias("leak"))
+    return m.groupBy(F.coalesce("role", F.lit("none")).alias("role")).agg(F.count("*").alias("messages"), F.count_if("leak").alias("leaks"))
 
 
 @query(
     f"WITH {B.MSG}, {B.EX}, c AS (SELECT ex_id, bool_or(coalesce(contains(content, '<think>'), false)) AS t FROM msg GROUP BY ex_id) SELECT type, count(*) AS examples, count(*) FILTER (WHERE t) AS with_block FROM ex JOIN c USING (ex_id) GROUP BY type"
 )
 def think_coverage(spark: SparkSession, d: str) -> DataFrame:
-    c = X.messages(spark, d).groupBy("ex_id").agg(F.bool_or(F.coalesce(T.think_coverage(F.col("content")), F.lit(False))).alias("t"))
+    c = X.delivered(spark, d).groupBy("ex_id").agg(F.bool_or(F.coalesce(T.think_coverage(F.col("content")), F.lit(False))).alias("t"))
     return X.examples(spark, d).select("ex_id", "type").join(c, "ex_id").groupBy("type").agg(F.count("*").alias("examples"), F.count_if("t").alias("with_block"))
 
 
@@ -287,7 +291,7 @@ def think_coverage(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {B.MSG}, l AS (SELECT ex_id, arg_max(sha256(coalesce(content, '')), pos) AS digest, max(pos) AS pos FROM msg WHERE role = 'assistant' GROUP BY ex_id) SELECT ex_id, pos, digest FROM l"
 )
 def last_answer(spark: SparkSession, d: str) -> DataFrame:
-    m = X.messages(spark, d).where("role = 'assistant'")
+    m = X.delivered(spark, d).where("role = 'assistant'")
     return m.groupBy("ex_id").agg(F.max("pos").alias("pos"), F.max_by(T.digest(F.coalesce("content", F.lit(""))), F.col("pos")).alias("digest"))
 
 
@@ -305,7 +309,7 @@ def first_json_object(spark: SparkSession, d: str) -> DataFrame:
 )
 def chat_render(spark: SparkSession, d: str) -> DataFrame:
     """Each conversation rendered with marks of the roles."""
-    n = X.nested(X.messages(spark, d))
+    n = X.nested(X.delivered(spark, d))
     return n.select("ex_id", F.size("messages").cast("long").alias("messages"), T.digest(T.render_chat(F.col("messages"))).alias("digest"))
 
 
@@ -317,12 +321,13 @@ def refused_targets(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {B.MSG}, {B.EX} SELECT ex.ex_id, ex.type FROM ex WHERE NOT EXISTS (SELECT 1 FROM msg WHERE msg.ex_id = ex.ex_id AND msg.role = 'system')")
 def missing_system(spark: SparkSession, d: str) -> DataFrame:
     """Examples without a system message."""
-    has = X.messages(spark, d).where("role = 'system'").select("ex_id").distinct()
+    has = X.delivered(spark, d).where("role = 'system'").select("ex_id").distinct()
     return X.examples(spark, d).select("ex_id", "type").join(has, "ex_id", "left_anti")
 
 
 @query(f"WITH {B.MSG}, s AS (SELECT role, content, count(*) AS n FROM msg WHERE content IS NOT NULL GROUP BY role, content HAVING count(*) > 1) SELECT coalesce(role, 'none') AS role, count(*) AS texts, sum(n)::bigint AS messages FROM s GROUP BY 1")
 def repeated_messages(spark: SparkSession, d: str) -> DataFrame:
     """Texts that several messages of a role have."""
-    g = X.messages(spark, d).where("content is not null").groupBy("role", T.digest(F.col("content")).alias("h")).agg(F.count("*").alias("n")).where("n > 1")
+    m = X.once(X.delivered(spark, d).where("content is not null"), "role", T.digest(F.col("content")).alias("h"))
+    g = m.groupBy("role", "h").agg(F.count("*").alias("n")).where("n > 1")
     return g.groupBy(F.coalesce("role", F.lit("none")).alias("role")).agg(F.count("*").alias("texts"), F.sum("n").alias("messages"))

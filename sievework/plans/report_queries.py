@@ -84,7 +84,7 @@ def bucket_reject_rate(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {B.MSG}, t AS (SELECT ex_id, count(*) FILTER (WHERE role = 'assistant') AS turns FROM msg GROUP BY ex_id) SELECT turns, count(*) AS examples FROM t GROUP BY turns")
 def turn_histogram(spark: SparkSession, d: str) -> DataFrame:
-    t = X.messages(spark, d).groupBy("ex_id").agg(F.count_if(F.col("role") == "assistant").alias("turns"))
+    t = X.once(X.delivered(spark, d), "role").groupBy("ex_id").agg(F.count_if(F.col("role") == "assistant").alias("turns"))
     return t.groupBy("turns").agg(F.count("*").alias("examples"))
 
 
@@ -143,7 +143,7 @@ SELECT leaks, rate, behaviour, no_topic, leaks = 0 AND rate >= 0.8 AND no_topic
 )
 def release_gate(spark: SparkSession, d: str) -> DataFrame:
     """One row of figures and the gate over them; each part is an aggregate of one row."""
-    leaks = X.messages(spark, d).agg(F.count_if(T.leaks_template(F.col("content"))).alias("leaks"))
+    leaks = X.once(X.delivered(spark, d), T.leaks_template(F.col("content")).alias("leak")).agg(F.count_if("leak").alias("leaks"))
     r = outcomes(spark, d).agg((F.count_if("ok").cast("double") / F.greatest(F.count("*"), F.lit(1))).alias("rate"))
     b = X.examples(spark, d).agg(F.count_if(F.col("layer") == "behaviour").alias("behaviour"), F.count_if(F.col("topic").isNull()).alias("no_topic"))
     one = leaks.unionByName(r, allowMissingColumns=True).unionByName(b, allowMissingColumns=True)
@@ -166,7 +166,7 @@ def dataset_release(spark: SparkSession, d: str) -> DataFrame:
     """The release gate with all of its conditions: also no part of the plan (layer and category) without an example, and a
     <think> block in every example; those of type direct may be without one if the plan has direct targets."""
     t = read_table(spark, d, "generation_targets")
-    has = X.messages(spark, d).groupBy("ex_id").agg(F.bool_or(F.coalesce(T.think_coverage(F.col("content")), F.lit(False))).alias("has"))
+    has = X.delivered(spark, d).groupBy("ex_id").agg(F.bool_or(F.coalesce(T.think_coverage(F.col("content")), F.lit(False))).alias("has"))
     bare = X.examples(spark, d).select("ex_id", "type").join(has, "ex_id", "left").where(~F.coalesce("has", F.lit(False)))
     direct = F.coalesce(F.col("type") == "direct", F.lit(False))
     k = bare.agg(F.count_if(~direct).alias("no_think"), F.count_if(direct).alias("direct_no_think"))

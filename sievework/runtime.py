@@ -95,11 +95,3 @@ def written(df: DataFrame, name: str) -> Table:
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return Table(spark.read.schema(df.schema).parquet(path), path)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of plans that nothing holds any more; else they stay until the driver happens to collect its garbage."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
