@@ -14,10 +14,11 @@ it finds broken leaves the sound ones for the last fit. The threshold of each la
   endings that other answers don't have. For the language: votes of function words and scripts, and how well either
   side fits a model of character n-grams, which needs no list of languages.
 * How often words, word pairs and endings occur is counted over all answers of the table, into tables of a fixed size; an answer's own
-  occurrences are taken off before it is scored. Rare means a share of the answers, so it means the same at every size.
+  occurrences are taken off before it is scored. Character n-grams are counted over all questions and answers, and the endings that the
+  sample's answers have over all answers. Rare and shared mean a share of the answers, so they mean the same at every size.
 
-Reasoning (``<think>`` to ``</think>``, any case, or to the end) is no part of an answer. Only the fit is made on a sample:
-``SAMPLE_PAIRS`` pairs, drawn by the hash of the example; every pair of the table is scored, on its whole text.
+Reasoning (``<think>`` to ``</think>``, any case, or to the end) is no part of an answer. Only the fit, weights and thresholds, is made on a
+sample: ``SAMPLE_PAIRS`` pairs, drawn by the hash of the example; every pair of the table is scored, on its whole text.
 
 Defined results: a question that is null counts as empty text; a null answer is ``empty``; a user message that no assistant
 message follows at the next position is ``empty``; rows delivered again count once; roles in any spelling; other roles, rows without
@@ -51,8 +52,8 @@ PRIOR = 0.02
 CLEANING_PRIOR = 0.3
 #: Share of the stored pairs that may be broken in the calibration.
 DOUBTFUL = 0.0015
-#: Responses that share their last three words at least, for the ending to be taken as complete.
-SHARED_ENDINGS = 2
+#: Responses that share their last three words, for the ending to be taken as complete: at least so many, and so large a share of all.
+SHARED_ENDINGS, SHARED_RATE = 2, 2.5e-4
 #: Rounds of cleaning, all but the first for refusals alone; logits over the threshold from which a pair counts as found; what the refusals found weigh together, against those
 #: made, and each at the most.
 CLEANINGS, SURE, REAL_SHARE, MOST_BOOST = 5, 0.25, 1.0, 60.0
@@ -367,35 +368,45 @@ def _slot(h: np.ndarray, salt: int) -> np.ndarray:
 @dataclass
 class Counts:
     """Hashed counts over all answers: words, word pairs, and the words and pairs that end a sentence or an item; the number of
-    answers; and how much likelier each character n-gram is than by chance (of the sample)."""
+    answers; the character n-grams of all questions and answers; and how often each ending of the sample's answers occurs."""
 
     words: np.ndarray
     pairs: np.ndarray
     ends: np.ndarray
     answers: float
+    gram_counts: np.ndarray
     grams: np.ndarray
+    endings: Counter = field(default_factory=Counter)
 
     @classmethod
-    def of(cls, answers: list[str]) -> Counts:
-        """Of answers at hand."""
-        out = cls(*(np.zeros(1 << COUNT_BITS, dtype=np.float32) for _ in range(3)), 0.0, np.zeros(GRAMS, dtype=np.float32))
-        return out.add(answers)
+    def of(cls, answers: list[str], questions: list[str] | None = None) -> Counts:
+        """Of pairs at hand."""
+        out = cls(*(np.zeros(1 << COUNT_BITS, dtype=np.float32) for _ in range(3)), 0.0, np.zeros(GRAMS), np.zeros(GRAMS, dtype=np.float32))
+        return out.add(answers, questions or [], None)
 
-    def add(self, answers: list[str]) -> Counts:
+    def add(self, answers: list[str], questions: list[str], among: frozenset | None) -> Counts:
+        """``among``: the endings to count; all if None."""
         if len(_WORDS.numbers) > 400_000:
             _WORDS.clear()
-        for table, slots in zip((self.words, self.pairs, self.ends), (x[1] for x in _occurrences(_tokens(answers)))):
+        tokens = _tokens(answers)
+        for table, slots in zip((self.words, self.pairs, self.ends), (x[1] for x in _occurrences(tokens))):
             table += np.bincount(slots, minlength=len(table)).astype(table.dtype)
+        asked = _WORDS([w for t in questions for w in _WORD.findall(t.lower())])
+        times = np.bincount(np.r_[tokens[0], np.array(asked, dtype=np.int64)], minlength=1)
+        if len(used := np.flatnonzero(times)):
+            grams = [_WORDS._grams[i] for i in used]
+            self.gram_counts += np.bincount(np.concatenate(grams), weights=np.repeat(times[used], [len(g) for g in grams]), minlength=GRAMS)
+        self.endings.update(e for a in answers if (e := _ending(a)) is not None and (among is None or e in among))
         self.answers += len(answers)
         return self
 
-    def learn_grams(self, texts: list[str]) -> Counts:
-        """How much likelier n-grams are in these texts than in an even mixture of all slots, as logarithms, centred on what a text has
-        in the mean."""
-        found = Counter(w for t in texts for w in _WORD.findall(t.lower()))
-        z = np.zeros(GRAMS)
-        for w, n in found.items():
-            np.add.at(z, _grams(w), n)
+    def shared(self, answer: str) -> bool:
+        """Whether an answer ends in words that so many answers end in that the ending is a complete one."""
+        return (e := _ending(answer)) is not None and self.endings[e] >= max(SHARED_ENDINGS, SHARED_RATE * self.answers)
+
+    def weigh_grams(self) -> Counts:
+        """How much likelier n-grams are than in an even mixture of all slots, as logarithms, centred on what a text has in the mean."""
+        z = self.gram_counts
         p = np.log((z + 0.5) / (z.sum() + 0.5 * GRAMS) * GRAMS)
         self.grams = (p - (p * z).sum() / max(1.0, z.sum())).astype(np.float32)
         return self
@@ -755,11 +766,11 @@ def _threshold(z: np.ndarray, y: np.ndarray, prior: float, weight: np.ndarray) -
 
 
 def train(sample: list[tuple[str, str]], counts: Counts | None = None, seed: int = 7) -> Model | None:
-    """The model of a sample of (question, answer); None if it is too small. ``counts``: those of all answers; by default, of the sample."""
+    """The model of a sample of (question, answer); None if it is too small. ``counts``: those of all pairs; by default, the sample is all."""
     sample = sorted({(q, a) for q, a in sample if not is_empty(a)})
     if len(sample) < LEAST_PAIRS:
         return None
-    counts = (counts or Counts.of([a for _, a in sample])).learn_grams([x for pair in sample for x in pair])
+    counts = (counts or Counts.of([a for _, a in sample], [q for q, _ in sample])).weigh_grams()
     q, a, y, of, twins = made_pairs(sample, np.random.default_rng(seed))
     every = _in_blocks(q, a, counts, [sample[i][1] for i in of])
     # a part of the rows has no votes, as texts in languages without a list; the n-grams must do there
@@ -767,8 +778,7 @@ def train(sample: list[tuple[str, str]], counts: Counts | None = None, seed: int
     every.dense[unlisted, 32:37], every.dense[unlisted, 37] = 0, 1
     own = _in_blocks([x for x, _ in sample], [x for _, x in sample], counts, [x for _, x in sample])
     # an ending in words that several responses share is a complete one, whatever a model of few pairs holds of it
-    endings = Counter(_ending(x) for _, x in sample)
-    shared = np.array([(e := _ending(x)) is not None and endings[e] >= SHARED_ENDINGS for _, x in sample])
+    shared = np.array([counts.shared(x) for _, x in sample])
     half, over = np.arange(len(sample)) % 2, np.full((len(sample), len(LABELS)), -1, dtype=np.float32)
 
     def fitted(among: np.ndarray, prior: float, epochs: int, which: tuple[int, ...] = tuple(range(len(LABELS)))) -> Model:
@@ -874,30 +884,37 @@ def sample_pairs(pairs: DataFrame) -> list[tuple[str, str]]:
     return [(r["question"], r["answer"]) for r in got]
 
 
-def corpus_counts(pairs: DataFrame) -> Counts:
-    """``Counts`` over all answers: each task counts into tables of a fixed size, which are added by slot."""
+def corpus_counts(pairs: DataFrame, sample: list[tuple[str, str]]) -> Counts:
+    """``Counts`` over all pairs with an answer: each task counts into tables of a fixed size, which are added by slot. Of the endings, those of the sample."""
+    asked = sorted({e for _, a in sample if (e := _ending(a)) is not None})
+    shared = pairs.sparkSession.sparkContext.broadcast(frozenset(asked))  # one for each pair of the sample at the most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts.of([])
         for batch in batches:
-            counts.add([a for a in batch.column(0).to_pylist() if not is_empty(a)])
-        for kind, table in enumerate((counts.words, counts.pairs, counts.ends, np.array([counts.answers], dtype=np.float32))):
+            filled = [(a, q) for a, q in zip(*(c.to_pylist() for c in batch.columns)) if not is_empty(a)]
+            counts.add([a for a, _ in filled], [q for _, q in filled], shared.value)
+        endings = np.array([counts.endings[e] for e in sorted(shared.value)])
+        for kind, table in enumerate((counts.words, counts.pairs, counts.ends, np.array([counts.answers]), counts.gram_counts, endings)):
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(table[at].astype(np.int64))], names=["kind", "slot", "n"])
 
-    summed = pairs.select("answer").mapInArrow(run, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toArrow()  # at most 3 x 2^COUNT_BITS rows
+    summed = pairs.select("answer", "question").mapInArrow(run, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toArrow()  # at most 3 x 2^COUNT_BITS + GRAMS + SAMPLE_PAIRS rows
     kind, slot, n = (summed.column(c).to_numpy() for c in ("kind", "slot", "n"))
     out = Counts.of([])
     for k, table in enumerate((out.words, out.pairs, out.ends)):
         table[slot[kind == k]] = n[kind == k]
     out.answers = float(n[kind == 3].sum())
+    out.gram_counts[slot[kind == 4]] = n[kind == 4]
+    out.endings.update({asked[i]: int(x) for i, x in zip(slot[kind == 5], n[kind == 5])})
     return out
 
 
 def broken_pairs(messages: DataFrame) -> DataFrame:
     """``ex_id``, ``pos``, ``defect`` of each broken pair."""
     pairs = paired(messages).df
-    model = train(sample_pairs(pairs), corpus_counts(pairs))
+    sample = sample_pairs(pairs)
+    model = train(sample, corpus_counts(pairs, sample))
     shared = messages.sparkSession.sparkContext.broadcast(model)  # of a fixed size: 2^18 weights for each label, 3 x 2^20 counts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

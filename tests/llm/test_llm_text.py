@@ -301,6 +301,20 @@ def test_counts_leave_out_the_own_answer():
     assert rest.words(np.array([0, 0]), slot).tolist() == [1, 0] and rest.words(np.array([1, 1]), slot).tolist() == [1, 1] and counts.answers == 2
 
 
+def test_counts_of_grams_and_endings_are_of_all_pairs(spark):
+    """Not of the sample: n-grams of questions and answers and the endings, whatever the number of tasks, and each with its own meaning of often."""
+    every = made(300, 1) + [("Why?", f"{x} he went on to the end of the road") for x in THINGS[:4]] + [("Wozu?", "..."), ("Wozu?", "Weil der Weg")]
+    df = spark.createDataFrame([(i, 0, *p) for i, p in enumerate(every)], "ex_id long, pos int, question string, answer string").repartition(5)
+    sample = [every[300], every[-1]]
+    got, want = pairs.corpus_counts(df, sample), pairs.Counts.of([a for _, a in every if a != "..."], [q for q, a in every if a != "..."])
+    assert got.gram_counts.sum() > 0 and np.array_equal(got.gram_counts, want.gram_counts) and np.array_equal(got.words, want.words) and got.answers == want.answers == 305
+    assert got.endings == {("of", "the", "road"): 4, ("weil", "der", "weg"): 1} and want.endings == got.endings
+    assert got.shared(sample[0][1]) and not got.shared(sample[1][1]) and not got.shared("It ends here.")
+    got.answers = 1e6
+    assert not got.shared(sample[0][1])
+    assert np.array_equal(got.weigh_grams().grams, want.weigh_grams().grams)
+
+
 def test_answers_without_reasoning():
     assert pairs.answer_of("<THINK>a</think> b <think>c") == "b" and pairs.answer_of(None) == ""
     assert pairs.is_empty("​ … -") and not pairs.is_empty("é")
