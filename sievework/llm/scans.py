@@ -4,12 +4,13 @@
    Counted by file: on how many pages a title stands, and the shift between printed and real page numbers that most pages
    of the file agree on. A title is a running head if the file has it on several pages, if it shares a part with such a
    title or with a chapter's heading, or if it carries the page's number; a number is the page's if it fits the shift.
-2. Vocabulary and vectors. Words of the running text are counted over all pages. Skip-gram vectors are learnt from all pages
-   (Spark's Word2Vec); its least count keeps the vocabulary within ``MOST_VECTORS`` words at any size of the corpus.
+2. Vocabulary. Words of the running text are counted over all pages.
 3. Links. A rare word is linked to the words at least ``RATIO`` times as frequent that one plausible glyph edit (``GLYPHS``) turns
    it into: its variants are made and joined with the vocabulary.
-4. In context. Of each occurrence of a linked word, the neighbour that fits the words around it best is taken, by the
-   vectors; without a link that fits, the word stays.
+4. In context. A linked word and those it is linked to have skip-gram vectors: the sum, over all pages, of the index vectors (signs from
+   a hash) of the words up to ``CONTEXT`` places away. The sums are of whole numbers, made by word in Spark; no size of the corpus or of
+   the vocabulary and no number of tasks changes which words have one or what it is. Of each occurrence of a linked word, the neighbour
+   that fits the words around it best is taken, by the vectors; without a link that fits, the word stays.
 5. Hyphens. A line that ends in a hyphen or the like is joined with the next line of running text, over the page end too,
    by an equi-join with the next page. The counts of the joined word, of the hyphenated word and of the two parts tell whether
    the hyphen is the word's own.
@@ -28,7 +29,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -43,8 +46,10 @@ EDGE, LEAST_PAGES = 3, 2
 RATIO, LEAST_COUNT = 12.0, 6
 #: The same for a word that mixes letters with digits or signs.
 STRANGE_RATIO = 4.0
-#: Bound on the words that have vectors; their size; words on either side that are the context.
-MOST_VECTORS, VECTOR_SIZE, CONTEXT = 500_000, 16, 3
+#: Size of the vectors; words on either side that are the context.
+VECTOR_SIZE, CONTEXT = 64, 3
+#: Weight of a word in the contexts of others, and the share of all words from which on it weighs less, by the root of its count.
+WEIGHT, FREQUENT = 16, 1e-3
 #: Letters of the longest word that is looked at; longer runs are no words.
 MOST_LETTERS = 60
 #: Bits of the filter on words for each word in it, and at the most; it only spares the exact join rows.
@@ -324,25 +329,91 @@ def vocabulary(pages: DataFrame) -> DataFrame:
     return pages.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vectors(pages: DataFrame, words: int, top: int) -> tuple[list[str], np.ndarray]:
-    """Skip-gram vectors of the frequent words, of length 1. ``words``: words of the running text, repeats counted; ``top``: how often
-    the most frequent one occurs."""
-    from pyspark.ml.feature import Word2Vec
+class Signs:
+    """Index vectors of the words met: signs from a hash of the word, times its weight. Emptied at a fixed size."""
+
+    def __init__(self, weights: dict[str, int]) -> None:
+        self.weights = weights
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.table = np.zeros((0, VECTOR_SIZE), dtype=np.int8)
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        """The numbers of these words, good until the next call."""
+        if len(self.numbers) > 200_000:
+            self._clear()
+        if new := list(dict.fromkeys(w for w in words if w not in self.numbers)):
+            self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
+            digests = b"".join(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=VECTOR_SIZE // 8).digest() for w in new)
+            signs = np.unpackbits(np.frombuffer(digests, dtype=np.uint8)).reshape(-1, VECTOR_SIZE).astype(np.int8) * 2 - 1
+            self.table = np.concatenate([self.table, signs * np.array([self.weights.get(w, WEIGHT) for w in new], dtype=np.int8)[:, None]])
+        return np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def weights(vocab: DataFrame) -> dict[str, int]:
+    """What frequent words weigh in a context; all others weigh ``WEIGHT``."""
+    total = vocab.where("not contains(word, '-')").agg(F.sum("n")).first()[0] or 0
+    rows = vocab.where(~F.col("word").contains("-") & (F.col("n") > FREQUENT * total)).collect()  # at most 1 / FREQUENT words have such a share
+    return {r["word"]: max(1, round(WEIGHT * (FREQUENT * total / r["n"]) ** 0.5)) for r in rows}
+
+
+def vectors(pages: DataFrame, asked: DataFrame, weighed: dict[str, int]) -> DataFrame:
+    """``word``, ``v``: skip-gram vectors of the words in ``asked``, over all pages."""
+    spark, names = pages.sparkSession, [f"c{i}" for i in range(VECTOR_SIZE)]
+    size, bits = _filter(asked)
+    shared = spark.sparkContext.broadcast((bits, weighed))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, signs = shared.value[0].view(np.uint64), Signs(shared.value[1])
         for batch in batches:
-            yield pd.DataFrame({"words": [[w.text for w in b.words] for *_, b in _bodies(batch)]})
+            texts: list[str] = []
+            within: list[int] = []  # number of the page of each word
+            for at, (*_, b) in enumerate(_bodies(batch)):
+                texts += [w.text for w in b.words]
+                within += [at] * len(b.words)
+            if not texts:
+                continue
+            ids, page = signs(texts), np.array(within)
+            used = np.unique(ids)
+            words = dict(zip(ids.tolist(), texts))
+            hit = np.array([_in_filter(words[i], bits, size) for i in used.tolist()])
+            kept = used[hit]
+            sums = np.zeros((len(kept), VECTOR_SIZE), dtype=np.int64)
+            row = np.full(int(used[-1]) + 1, -1, dtype=np.int64)
+            row[kept] = np.arange(len(kept))
+            found = np.flatnonzero(row[ids] >= 0)
+            for start in range(0, len(found), 1 << 15):
+                at = found[start : start + (1 << 15)]
+                around = np.zeros((len(at), VECTOR_SIZE), dtype=np.int64)
+                for k in (*range(-CONTEXT, 0), *range(1, CONTEXT + 1)):
+                    there = np.clip(at + k, 0, len(ids) - 1)
+                    same = (there == at + k) & (page[there] == page[at])
+                    around[same] += signs.table[ids[there[same]]]
+                order = np.argsort(row[ids[at]], kind="stable")
+                of = row[ids[at]][order]
+                firsts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                sums[of[firsts]] += np.add.reduceat(around[order], firsts, axis=0)
+            yield pd.DataFrame(sums, columns=names).assign(word=[words[i] for i in kept.tolist()])
+
+    made = pages.mapInPandas(run, ", ".join(f"{c} long" for c in names) + ", word string").groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
+    return made.join(asked, "word", "left_semi").select("word", F.array(*names).alias("v"))
+
+
+def _filter(words: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits of the filter on these words, and the filter."""
+    size = min(MOST_BITS, max(1 << 12, 1 << (FILTER_BITS * words.select("word").distinct().count()).bit_length()))
+    slots = words.select(F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(size)).alias("s"))
+    filled = slots.select(F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most MOST_BITS / 64 rows
+    bits = np.zeros(size // 64, dtype=np.int64)
+    bits[filled.column("w").to_numpy()] = filled.column("bits").to_numpy()
+    return size, bits
+
 
-    least = max(LEAST_COUNT, -(-words // MOST_VECTORS))  # at most words / least words occur that often
-    sentences = pages.mapInPandas(run, "words array<string>").where("size(words) > 1")
-    if top < least:
-        return [], np.zeros((0, VECTOR_SIZE), dtype=np.float32)
-    parts = max(1, min(64, words // 400_000))
-    model = Word2Vec(vectorSize=VECTOR_SIZE, minCount=least, windowSize=CONTEXT, numPartitions=parts, maxIter=1, seed=11, inputCol="words", outputCol="v", maxSentenceLength=4000).fit(sentences)
-    rows = model.getVectors().collect()  # bounded, see least
-    rows.sort(key=lambda r: r["word"])
-    table = np.array([r["vector"].toArray() for r in rows], dtype=np.float32).reshape(-1, VECTOR_SIZE)
-    return [r["word"] for r in rows], table / np.maximum(1e-6, np.linalg.norm(table, axis=1, keepdims=True))
+def _in_filter(word: str, bits: np.ndarray, size: int) -> bool:
+    x = crc32(word.encode("utf-8", "surrogatepass")) % size
+    return bool(int(bits[x >> 6]) >> (x & 63) & 1)
 
 
 def links(vocab: DataFrame) -> DataFrame:
@@ -371,20 +442,14 @@ def _strange(word: str) -> bool:
 FOUND_SCHEMA = "page_id long, line int, start int, end int, word string, to string, shown int"
 
 
-def misread(pages: DataFrame, linked: DataFrame, table: tuple[list[str], np.ndarray]) -> DataFrame:
+def misread(pages: DataFrame, linked: DataFrame, table: DataFrame, weighed: dict[str, int]) -> DataFrame:
     """Occurrences of linked words that a neighbour fits in context: ``FOUND_SCHEMA``; lines count from 1. ``shown`` is the line with
-    the misread characters, which of a word broken over two lines may be the second."""
+    the misread characters, which of a word broken over two lines may be the second. ``table``: the vectors, see ``vectors``."""
     spark = pages.sparkSession
-    size = min(MOST_BITS, max(1 << 12, 1 << (FILTER_BITS * linked.select("word").distinct().count()).bit_length()))
-    slots = linked.select(F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(size)).alias("s"))
-    filled = slots.select(F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most MOST_BITS / 64 rows
-    bits = np.zeros(size // 64, dtype=np.int64)
-    bits[filled.column("w").to_numpy()] = filled.column("bits").to_numpy()
-    shared_bits, shared_table = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(table)
+    size, bits = _filter(linked)
+    shared_bits, shared_weights = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(weighed)
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from zlib import crc32
-
         words = shared_bits.value.view(np.uint64)
         known: dict[str, bool] = {}
         for batch in batches:
@@ -396,28 +461,29 @@ def misread(pages: DataFrame, linked: DataFrame, table: tuple[list[str], np.ndar
                     if hit is None:
                         if len(known) > 500_000:
                             known.clear()
-                        x = crc32(w.text.encode("utf-8", "surrogatepass")) % size
-                        hit = known[w.text] = bool(int(words[x >> 6]) >> (x & 63) & 1)
+                        hit = known[w.text] = _in_filter(w.text, words, size)
                     if hit:
                         out.append((page, w.line + 1, w.start, w.end, w.text, texts[max(0, i - CONTEXT) : i] + texts[i + 1 : i + 1 + CONTEXT], w.next + 1))
             yield pd.DataFrame(out, columns=["page_id", "line", "start", "end", "word", "context", "next"])
 
     seen = pages.mapInPandas(occurrences, "page_id long, line int, start int, end int, word string, context array<string>, next int")
-    options = linked.groupBy("word").agg(F.collect_list(F.struct("to", "to_n", "n")).alias("options"))  # at most the variants of one word
+    fitted = linked.join(table.select(F.col("word").alias("to"), "v"), "to", "left")
+    options = fitted.groupBy("word").agg(F.collect_list(F.struct("to", "to_n", "n", "v")).alias("options"))  # at most the variants of one word
+    options = options.join(table.select("word", F.col("v").alias("own")), "word", "left")
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, matrix = shared_table.value
-        at = {w: i for i, w in enumerate(names)}
+        signs = Signs(shared_weights.value)
         for batch in batches:
             out = []
-            for page, line, start, end, word, context, after, options in batch.itertuples(index=False):
-                around = [at[w] for w in context if w in at]
-                mean = matrix[around].mean(axis=0) if around else np.zeros(VECTOR_SIZE, dtype=np.float32)
-                mean = mean / max(1e-6, float(np.linalg.norm(mean)))
-                own = float(mean @ matrix[at[word]]) if word in at else None
+            ids = signs([w for context in batch["context"] for w in context])
+            ends = np.cumsum([len(context) for context in batch["context"]])
+            for (page, line, start, end, word, context, after, options, own_sum), until in zip(batch.itertuples(index=False), ends):
+                around = signs.table[ids[until - len(context) : until]].sum(axis=0, dtype=np.int64)
+                # the own vector is that of the other occurrences
+                own = _cosine(around, np.asarray(own_sum) - around) if own_sum is not None and options[0]["n"] >= LEAST_COUNT else None
                 best, best_score = None, -9.0
                 for o in options:
-                    fit = float(mean @ matrix[at[o["to"]]]) if o["to"] in at else 0.0
+                    fit = _cosine(around, np.asarray(o["v"])) if o["v"] is not None else 0.0
                     score = fit + 0.03 * np.log(o["to_n"])
                     if score > best_score:
                         best, best_score, best_fit, ratio = o["to"], score, fit, o["to_n"] / o["n"]
@@ -429,7 +495,12 @@ def misread(pages: DataFrame, linked: DataFrame, table: tuple[list[str], np.ndar
                     out.append((page, line, start, end, word, best, after if after and same >= end - start - 1 else line))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
 
-    return seen.join(options, "word").select("page_id", "line", "start", "end", "word", "context", "next", "options").mapInPandas(choose, FOUND_SCHEMA)
+    return seen.join(options, "word").select("page_id", "line", "start", "end", "word", "context", "next", "options", "own").mapInPandas(choose, FOUND_SCHEMA)
+
+
+def _cosine(a: np.ndarray, b: np.ndarray) -> float:
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    return float(a @ b / max(1e-6, np.sqrt((a @ a) * (b @ b))))
 
 
 #: Cosine between a neighbour and the words around that it needs at least.
@@ -488,13 +559,14 @@ def find_noise(extracted_pages: DataFrame) -> Noise:
     skip = around.groupBy("page_id").agg(F.collect_set("line").alias("skip"))  # at most 2 EDGE lines
     clean = cut_lineage(pages.join(skip, "page_id", "left"))
     vocab = cut_lineage(vocabulary(clean))
-    size = vocab.where("not contains(word, '-')").agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
     linked = cut_lineage(links(vocab))
     broken = cut_lineage(breaks(clean, vocab))
     # the rest of a word that the page before broke off is no word of its own
     over = broken.where("at_end and right <> ''").join(clean.select("page_id", "source_file", "page_number"), "page_id")
     rests = over.select("source_file", (F.col("page_number") + 1).alias("page_number"), F.col("right").alias("word")).join(clean.select("page_id", "source_file", "page_number"), ["source_file", "page_number"])
-    wrong = misread(clean, linked, vectors(clean, int(size["total"] or 0), int(size["top"] or 0)))
+    weighed = weights(vocab)
+    asked = linked.select("word").union(linked.select("to")).distinct()
+    wrong = misread(clean, linked, cut_lineage(vectors(clean, asked, weighed)), weighed)
     wrong = wrong.join(rests.select("page_id", "word", F.lit(0).alias("start")).distinct(), ["page_id", "word", "start"], "left_anti").select(*wrong.columns)
     return Noise(clean, around, wrong, broken)
 

@@ -198,6 +198,37 @@ def test_few_words_and_one_long_page(spark):
     scans.repaired_pages(scans.find_noise(page(spark, rows))).collect()
 
 
+def test_vectors_are_sums_whatever_the_size(spark):
+    """The table twice has twice the sums, in any number of tasks; no bound on words leaves any out."""
+    rows = [(i, "a", i, PROSE * 2 + f"the clerk of quay number {i} writes\n" + "one" * (i % 2)) for i in range(40)]
+    pages = page(spark, rows).withColumn("skip", F.lit(None).cast("array<int>"))
+    again = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1000))
+    asked = spark.createDataFrame([("clerk",), ("writes",), ("never",), ("one",)], "word string")
+    get = lambda df: {r["word"]: np.array(r["v"]) for r in scans.vectors(df, asked, {"the": 2}).collect()}
+    once, twice = get(pages.repartition(1)), get(again.repartition(7))
+    assert set(once) == set(twice) == {"clerk", "writes", "one"} and all((2 * once[w] == twice[w]).all() for w in once)
+    signs, want = scans.Signs({"the": 2}), {w: 0 for w in once}
+    for *_, text in rows:
+        words = [w.text for w in scans.body(text, set()).words]
+        for i, w in enumerate(words):
+            if w in want:
+                around = signs(words[max(0, i - scans.CONTEXT) : i] + words[i + 1 : i + 1 + scans.CONTEXT])
+                want[w] = want[w] + signs.table[around].sum(axis=0, dtype=int)
+    known = signs(["the", "clerk"])
+    assert all((once[w] == want[w]).all() for w in want) and np.abs(signs.table[known]).max(axis=1).tolist() == [2, scans.WEIGHT]
+
+
+def test_context_decides_at_every_size(spark, monkeypatch):
+    """A rare word in contexts of its own stays, one in those of the word it looks like doesn't, both with vectors; a bound on the words with vectors would tell
+    a large table from a small one."""
+    monkeypatch.setattr(scans, "MOST_VECTORS", 1, raising=False)
+    often = "they eat warm bread with butter before the long walk home"
+    pages = ["\n".join([often] * 25 + ["some grey old cat slept behind our kitchen stove", often.replace("bread", "brcad")]) for _ in range(8)]
+    rows = [(1000 * k + i, f"f{k}", i, text) for k in range(2) for i, text in enumerate(pages)]
+    found = {(r["page_id"] % 1000, r["line"], r["word"], r["to"]) for r in scans.find_noise(page(spark, rows)).misread.collect()}
+    assert found == {(i, 27, "brcad", "bread") for i in range(8)}
+
+
 def test_roman():
     assert [scans.roman(x) for x in ("iv", "ix", "xii", "iiii", "vx")] == [4, 9, 12, 0, 0]
 
