@@ -486,11 +486,12 @@ def misread(pages: DataFrame, linked: DataFrame, table: DataFrame, weighed: dict
                     fit = _cosine(around, np.asarray(o["v"])) if o["v"] is not None else 0.0
                     score = fit + 0.03 * np.log(o["to_n"])
                     if score > best_score:
-                        best, best_score, best_fit, ratio = o["to"], score, fit, o["to_n"] / o["n"]
+                        best, best_score, best_fit, ratio, best_sum = o["to"], score, fit, o["to_n"] / o["n"], o["v"]
                 if best is None:
                     continue
-                # a word with a vector of its own must fit worse than the neighbour; a strange word needs no context
-                if _strange(word) or own is None and (best_fit > LEAST_FIT or ratio > 200) or own is not None and best_fit > own - 0.05:
+                # a word with a vector of its own must fit worse than the neighbour, or be found in the same contexts; a strange word needs no context
+                alike = own is not None and best_sum is not None and _cosine(np.asarray(own_sum), np.asarray(best_sum)) > ALIKE
+                if _strange(word) or own is None and (best_fit > LEAST_FIT or ratio > 200) or own is not None and (alike or best_fit > own - 0.05):
                     same = next((i for i, (a, b) in enumerate(zip(word, best)) if a != b), min(len(word), len(best)))
                     out.append((page, line, start, end, word, best, after if after and same >= end - start - 1 else line))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
@@ -505,6 +506,8 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> float:
 
 #: Cosine between a neighbour and the words around that it needs at least.
 LEAST_FIT = -0.2
+#: Cosine between the vectors of a word and a neighbour from which on they are found in the same contexts.
+ALIKE = 0.4
 
 
 def breaks(pages: DataFrame, vocab: DataFrame) -> DataFrame:
